@@ -101,7 +101,7 @@ def landed_orders_count_by_cinema(spark: SparkSession, sf_dir: str) -> DataFrame
     log = landed_log(spark, inputs.landed_files(spark, sf_dir))
     return spark.sql(
         """
-        SELECT from_json(order, 'cinemaInnerCode string').cinemaInnerCode, count(*) AS cnt
+        SELECT from_json(order, 'cinemaInnerCode string').cinemaInnerCode AS cinemaInnerCode, count(*) AS cnt
         FROM (SELECT DISTINCT explode(items) AS order FROM (SELECT str_to_jsonArray(data) AS items FROM {log}))
         GROUP BY 1
         """,

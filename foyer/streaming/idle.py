@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterable, Iterator
 
 import pandas as pd
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from foyer.operators.sales import BOX_OFFICE_KEY
 
+# Executors get these functions with the plan and need not have the package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 _MEASURES = ("ticket_num", "ticket_amt")
 _ROW = ", ".join([*(f"{key} string" for key in BOX_OFFICE_KEY), *(f"{name} bigint" for name in _MEASURES)])
 
