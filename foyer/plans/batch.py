@@ -23,10 +23,13 @@ from foyer.sources.tables import attach_table, point_filter
 # Business days from here on count; a date within the test tables.
 SINCE = "1997-03-01"
 SEGMENT = "BUILDING"
+# Lines sent before this date are in the opening balances, the others arrive.
+OPENED = "1998-07-01"
 
 
 def _feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return inputs.ticket_lines(inputs.lineitem(spark, sf_dir))
+    """The raw ticket feed, read from text files."""
+    return text_lines(spark, inputs.ticket_files(spark, sf_dir))
 
 
 def _tickets(spark: SparkSession, sf_dir: str, *fields: str, **types: str) -> DataFrame:
@@ -35,9 +38,8 @@ def _tickets(spark: SparkSession, sf_dir: str, *fields: str, **types: str) -> Da
 
 
 def ticket_sales_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Tickets and cents per showing, from feed text files."""
-    lines = text_lines(spark, inputs.ticket_files(spark, sf_dir))
-    return sales.sales_by_showing(kept(tickets.sale_tickets(lines)))
+    """Tickets and cents per showing."""
+    return sales.sales_by_showing(kept(tickets.sale_tickets(_feed(spark, sf_dir))))
 
 
 def explode_ticket_array(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -110,12 +112,7 @@ def landed_orders_count_by_cinema(spark: SparkSession, sf_dir: str) -> DataFrame
 
 
 def orders_json_count_by_cinema(spark: SparkSession, sf_dir: str) -> DataFrame:
-    def write(path: str) -> None:
-        lines = _feed(spark, sf_dir).select(F.get(F.split("value", "\u0001"), F.lit(1)).alias("data"))
-        tickets.explode_ticket_texts(lines).write.text(path)
-
-    path = inputs.landed(spark, sf_dir, "json-tickets", write)
-    return sales.count_by_cinema(json_tickets(spark, path))
+    return sales.count_by_cinema(json_tickets(spark, inputs.json_files(spark, sf_dir)))
 
 
 def _pay_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -174,12 +171,12 @@ def batch_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def regex_space_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    texts = inputs.spread(inputs.table(spark, sf_dir, "documents"), ["text"])
+    texts = inputs.spread(spark, sf_dir, "documents", "text")
     return counts.token_counts(texts.withColumnRenamed("text", "value"), space_tokens)
 
 
 def csv_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = inputs.spread(inputs.table(spark, sf_dir, "documents"), ["text", "lang", "source"])
+    documents = inputs.spread(spark, sf_dir, "documents", "text", "lang", "source")
     return counts.token_counts(inputs.comma_lines(documents), lambda value: tokens(value, ","))
 
 

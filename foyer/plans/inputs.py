@@ -8,11 +8,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
+from foyer.functions.text import line_field
+from foyer.operators.tickets import explode_ticket_texts
 from foyer.schemas import FIELD_SEPARATOR, SCHEDULE_TOPIC, SHOW_DETAILS, TICKET_TOPIC
 from foyer.session import shared_folder
+from foyer.sources.files import text_lines
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,31 +29,21 @@ def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.readStream.schema(schema).parquet(f"{sf_dir}/{name}.parque[t]")
 
 
-def spread(rows: DataFrame, columns: list[str], like: DataFrame | None = None) -> DataFrame:
-    """Share a table that scans in fewer tasks than there are cores among all cores.
+def spread(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    """Columns of a table; if it scans in fewer tasks than there are cores, shared by all.
 
-    A table of many files already fills the cluster and is left alone. ``like`` is the
-    batch form of the table when ``rows`` is a stream.
+    A table of many files fills the cluster as it is and is not moved.
     """
-    rows = rows.select(*columns)
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    tasks = (rows if like is None else like).rdd.getNumPartitions()
-    return rows.repartition(cores) if tasks < cores else rows
-
-
-LINEITEM_COLUMNS = [
-    "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice", "l_discount",
-    "l_returnflag", "l_linestatus", "l_shipdate",
-]
+    rows = table(spark, sf_dir, name).select(*columns)
+    cores = spark.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
 
 
 def lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(table(spark, sf_dir, "lineitem"), LINEITEM_COLUMNS)
-
-
-def lineitem_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    batch = table(spark, sf_dir, "lineitem")
-    return spread(table_stream(spark, sf_dir, "lineitem"), LINEITEM_COLUMNS, like=batch)
+    return spread(
+        spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
+        "l_extendedprice", "l_discount", "l_returnflag", "l_shipdate",
+    )
 
 
 def _text(expression: str) -> Column:
@@ -152,7 +145,7 @@ _landed: dict[tuple[str, str, str], str] = {}
 
 
 def landed(spark: SparkSession, sf_dir: str, kind: str, write: Callable[[str], None]) -> str:
-    """Folder of a derived feed, written once per application and table folder.
+    """Folder of a derived input, written once per application and table folder.
 
     It is a written table on shared storage, so losing an executor loses nothing.
     """
@@ -164,10 +157,15 @@ def landed(spark: SparkSession, sf_dir: str, kind: str, write: Callable[[str], N
     return _landed[key]
 
 
+def _writer(lines: DataFrame) -> DataFrameWriter:
+    # Packed text cannot be split for reading, so the files stay small.
+    return lines.write.options(compression="lz4", maxRecordsPerFile=500_000)
+
+
 def ticket_files(spark: SparkSession, sf_dir: str) -> str:
     """The raw ticket feed as text files."""
     def write(path: str) -> None:
-        ticket_lines(lineitem(spark, sf_dir)).write.text(path)
+        _writer(ticket_lines(lineitem(spark, sf_dir))).text(path)
 
     return landed(spark, sf_dir, "ticket-feed", write)
 
@@ -176,23 +174,39 @@ def landed_files(spark: SparkSession, sf_dir: str) -> str:
     """The landed log below ``dt=`` folders; rebalancing evens out large and small dates."""
     def write(path: str) -> None:
         lines = landed_lines(lineitem(spark, sf_dir)).hint("rebalance", "dt")
-        lines.write.partitionBy("dt").text(path)
+        _writer(lines).partitionBy("dt").text(path)
 
     return landed(spark, sf_dir, "landed-log", write)
 
 
+def json_files(spark: SparkSession, sf_dir: str) -> str:
+    """The tickets of the feed as one JSON object per line."""
+    def write(path: str) -> None:
+        bodies = text_lines(spark, ticket_files(spark, sf_dir)).select(line_field(F.col("value"), 1).alias("data"))
+        _writer(explode_ticket_texts(bodies)).text(path)
+
+    return landed(spark, sf_dir, "json-tickets", write)
+
+
 def document_files(spark: SparkSession, sf_dir: str) -> str:
     """Whole document texts as text files; a newline in a text starts a new line."""
     def write(path: str) -> None:
-        spread(table(spark, sf_dir, "documents"), ["text"]).write.text(path)
+        _writer(spread(spark, sf_dir, "documents", "text")).text(path)
 
     return landed(spark, sf_dir, "documents", write)
 
 
 def id_files(spark: SparkSession, sf_dir: str) -> str:
-    """The id messages as several text files."""
+    """The id messages as text files."""
     def write(path: str) -> None:
-        events = spread(table(spark, sf_dir, "events"), ["event_type", "user_id", "value"])
-        id_lines(events).write.text(path)
+        _writer(id_lines(spread(spark, sf_dir, "events", "event_type", "user_id", "value"))).text(path)
 
     return landed(spark, sf_dir, "id-messages", write)
+
+
+def comma_files(spark: SparkSession, sf_dir: str) -> str:
+    """The comma-separated lines, each with a whole text, as parquet: texts hold newlines."""
+    def write(path: str) -> None:
+        comma_lines(spread(spark, sf_dir, "documents", "text", "lang", "source")).write.parquet(path)
+
+    return landed(spark, sf_dir, "comma-lines", write)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from foyer.plans.batch import SEGMENT, SINCE
+from foyer.plans.batch import OPENED, SEGMENT, SINCE
 
 _TICKETS = """
 WITH items AS (
@@ -24,7 +24,7 @@ WITH items AS (
     cents * l_linenumber // 8 AS first_item,
     l_discount = 0 AS unpaid,
     CASE WHEN l_discount = 0 THEN 0 ELSE cents END AS pay,
-    l_linenumber, l_linestatus
+    l_linenumber, l_shipdate
   FROM (
     SELECT *, CASE WHEN l_linenumber <> 7 THEN 'N' END AS mark FROM items
     UNION ALL
@@ -36,7 +36,7 @@ WITH items AS (
   FROM tickets
 ), presale AS (
   SELECT strftime(CAST("movieShowStartTime" AS TIMESTAMP) - INTERVAL 6 HOUR, '%Y-%m-%d') AS date_id,
-    substr("movieShowStartTime", 12) AS show_time, "cinemaInnerCode", "movieCode", l_linestatus,
+    substr("movieShowStartTime", 12) AS show_time, "cinemaInnerCode", "movieCode", l_shipdate,
     CASE WHEN "isRefund" = 'N' THEN 1 ELSE -1 END AS sign, pay
   FROM tickets WHERE l_linenumber <> 6
 )
@@ -88,7 +88,7 @@ SELECT {_KEY}, count(DISTINCT show_code) AS show_codes FROM keyed GROUP BY {_KEY
     "fanout_join_stream": _PAIRS,
     "presale_box_office": _BOX_OFFICE,
     "stateful_idle_timeout": _BOX_OFFICE,
-    "presale_seeded_state": f"{_BOX_OFFICE} HAVING bool_or(l_linestatus = 'O')",
+    "presale_seeded_state": f"{_BOX_OFFICE} HAVING max(l_shipdate) >= '{OPENED}'",
     "landed_log_distinct_orders": f"""{_TICKETS}
 SELECT DISTINCT "ticketCode", "isRefund", "cinemaInnerCode", "hallCode", "movieShowStartTime", "movieCode",
   cents AS "ticketPrice" FROM (

@@ -8,12 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foyer.functions.showing import SHOWING_KEY
-from foyer.functions.text import space_tokens, tokens
+from foyer.functions.text import line_field, space_tokens, tokens
 from foyer.operators import counts, sales, tickets
 from foyer.operators.rejects import counted, kept
 from foyer.operators.sales import BOX_OFFICE_KEY
 from foyer.plans import inputs
-from foyer.plans.batch import SINCE
+from foyer.plans.batch import OPENED, SINCE
 from foyer.session import shared_folder
 from foyer.sources.files import text_lines
 from foyer.sources.streams import file_lines
@@ -30,7 +30,7 @@ def _upserted(spark: SparkSession, rows: DataFrame, name: str, keys: Sequence[st
 
 
 def _feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return inputs.ticket_lines(inputs.lineitem_stream(spark, sf_dir))
+    return file_lines(spark, inputs.ticket_files(spark, sf_dir))
 
 
 def _running_sales(lines: DataFrame) -> DataFrame:
@@ -45,11 +45,8 @@ def ticket_sales_running(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def csv_token_running(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Running counts of comma-separated tokens, keyed as the word table stores them."""
-    columns = ["text", "lang", "source"]
-    documents = inputs.spread(
-        inputs.table_stream(spark, sf_dir, "documents"), columns, like=inputs.table(spark, sf_dir, "documents")
-    )
-    words = counts.token_rows(inputs.comma_lines(documents), lambda value: tokens(value, ","))
+    lines = spark.readStream.schema("value string").parquet(inputs.comma_files(spark, sf_dir))
+    words = counts.token_rows(lines, lambda value: tokens(value, ","))
     running = trimmed_tokens(words).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
     return _upserted(spark, running, "csv-tokens", ["token"])
 
@@ -60,16 +57,16 @@ def running_id_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def presale_seeded_state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Running presale box office of open lines, on balances made of the finished ones."""
-    items = inputs.lineitem(spark, sf_dir)
-    finished = inputs.ticket_lines(items.where("l_linestatus = 'F'"))
-    balances_path = inputs.landed(
-        spark, sf_dir, "balances",
-        lambda path: sales.box_office(kept(tickets.presale_tickets(finished, SINCE))).write.parquet(path),
-    )
-    schema = spark.read.parquet(balances_path).schema
-    balances = spark.readStream.schema(schema).parquet(balances_path)
-    lines = inputs.ticket_lines(inputs.lineitem_stream(spark, sf_dir).where("l_linestatus = 'O'"))
+    """Running presale box office, on balances made of the lines sent before ``OPENED``."""
+    sent = line_field(F.col("value"), 2)
+
+    def write(path: str) -> None:
+        earlier = text_lines(spark, inputs.ticket_files(spark, sf_dir)).where(sent < OPENED)
+        sales.box_office(kept(tickets.presale_tickets(earlier, SINCE))).write.parquet(path)
+
+    path = inputs.landed(spark, sf_dir, "balances", write)
+    balances = spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
+    lines = _feed(spark, sf_dir).where(sent >= OPENED)
     arriving = kept(counted(tickets.presale_tickets(lines, SINCE), "tickets"))
     running = sales.seeded_box_office(arriving, balances)
     return _upserted(spark, running, "presale", BOX_OFFICE_KEY)
