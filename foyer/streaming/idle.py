@@ -9,6 +9,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from foyer.operators.sales import BOX_OFFICE_KEY
@@ -17,19 +18,34 @@ from foyer.operators.sales import BOX_OFFICE_KEY
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 _MEASURES = ("ticket_num", "ticket_amt")
-_ROW = ", ".join([*(f"{key} string" for key in BOX_OFFICE_KEY), *(f"{name} bigint" for name in _MEASURES)])
+_TOTALS = "ticket_num bigint, ticket_amt bigint"
+_KEYED = f"key string, {_TOTALS}"
 
 # Fixed value: 108,000 s.
 THIRTY_HOURS_MS = 108_000 * 1000
 
+_HELD_ROWS = 200_000
+
+
+def _sums(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    sums = pa.Table.from_batches(held).group_by("key", use_threads=False).aggregate(
+        [(name, "sum") for name in _MEASURES]
+    )
+    columns = [sums["key"], *(sums[f"{name}_sum"] for name in _MEASURES)]
+    yield from pa.table(columns, names=["key", *_MEASURES]).to_batches()
+
 
 def _combine(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Map-side sums, so a hot key reaches its state task as a row per Arrow batch."""
+    """Map-side sums: of a hot key one row per ``_HELD_ROWS`` reaches its state task."""
+    held, rows = [], 0
     for batch in batches:
-        table = pa.Table.from_batches([batch]).group_by(list(BOX_OFFICE_KEY), use_threads=False)
-        sums = table.aggregate([(name, "sum") for name in _MEASURES])
-        columns = [sums[key] for key in BOX_OFFICE_KEY] + [sums[f"{name}_sum"] for name in _MEASURES]
-        yield from pa.table(columns, names=[*BOX_OFFICE_KEY, *_MEASURES]).to_batches()
+        held.append(batch)
+        rows += batch.num_rows
+        if rows >= _HELD_ROWS:
+            yield from _sums(held)
+            held, rows = [], 0
+    if held:
+        yield from _sums(held)
 
 
 def add_to_state(idle_ms: int, key: tuple, frames: Iterable[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
@@ -42,11 +58,11 @@ def add_to_state(idle_ms: int, key: tuple, frames: Iterable[pd.DataFrame], state
         state.remove()
     else:
         for frame in frames:
-            num += int(frame["ticket_num"].sum())
-            amt += int(frame["ticket_amt"].sum())
+            num += int(frame["ticket_num"].to_numpy().sum())
+            amt += int(frame["ticket_amt"].to_numpy().sum())
         state.update((num, amt))
         state.setTimeoutDuration(idle_ms)
-    yield pd.DataFrame([(*key, num, amt)], columns=[*BOX_OFFICE_KEY, *_MEASURES])
+    yield pd.DataFrame({"key": [key[0]], "ticket_num": [num], "ticket_amt": [amt]})
 
 
 def idle_box_office(tickets: DataFrame, idle_ms: int = THIRTY_HOURS_MS) -> DataFrame:
@@ -58,8 +74,11 @@ def idle_box_office(tickets: DataFrame, idle_ms: int = THIRTY_HOURS_MS) -> DataF
     def step(key, frames, state):
         return add_to_state(idle_ms, key, frames, state)
 
-    sums = tickets.select(*BOX_OFFICE_KEY, *_MEASURES).mapInArrow(_combine, _ROW)
-    return sums.groupBy(*BOX_OFFICE_KEY).applyInPandasWithState(
-        step, _ROW, "ticket_num bigint, ticket_amt bigint", "update",
-        GroupStateTimeout.ProcessingTimeTimeout,
+    # The cost of a key in Python grows with its columns, so the four travel as one.
+    packed = F.to_json(F.struct(*BOX_OFFICE_KEY)).alias("key")
+    sums = tickets.select(packed, *_MEASURES).mapInArrow(_combine, _KEYED)
+    totals = sums.groupBy("key").applyInPandasWithState(
+        step, _KEYED, _TOTALS, "update", GroupStateTimeout.ProcessingTimeTimeout
     )
+    unpacked = F.from_json("key", ", ".join(f"{name} string" for name in BOX_OFFICE_KEY))
+    return totals.select(unpacked.alias("key"), *_MEASURES).select("key.*", *_MEASURES)

@@ -4,6 +4,7 @@ import re
 import time
 
 import pandas as pd
+import pyarrow as pa
 import pytest
 from conftest import line, rows, ticket
 from pyspark.sql import functions as F
@@ -188,7 +189,7 @@ class FakeState:
 
 
 def step(state, *frames):
-    key = ("d", "t", "c", "m")
+    key = ("k",)
     data = [pd.DataFrame(f, columns=["ticket_num", "ticket_amt"]) for f in frames]
     (out,) = idle.add_to_state(1000, key, data, state)
     return out.iloc[0].tolist()
@@ -196,13 +197,20 @@ def step(state, *frames):
 
 def test_idle_state_adds_expires_and_starts_again():
     state = FakeState()
-    assert step(state, [(1, 10)], [(2, 20), (-1, -5)]) == ["d", "t", "c", "m", 2, 25]
+    assert step(state, [(1, 10)], [(2, 20), (-1, -5)]) == ["k", 2, 25]
     assert (state.value, state.timeout) == ((2, 25), 1000)
     state.hasTimedOut = True
-    assert step(state) == ["d", "t", "c", "m", 2, 25]
+    assert step(state) == ["k", 2, 25]
     assert not state.exists
     state.hasTimedOut = False
-    assert step(state, [(1, 1)])[4:] == [1, 1]
+    assert step(state, [(1, 1)]) == ["k", 1, 1]
+
+
+def test_idle_combiner_sums_whole_stretches(monkeypatch):
+    monkeypatch.setattr(idle, "_HELD_ROWS", 5)
+    batch = pa.RecordBatch.from_pydict({"key": ["a", "a", "b"], "ticket_num": [1, 1, -1], "ticket_amt": [5, 6, -7]})
+    out = [row for part in idle._combine([batch] * 3) for row in part.to_pylist()]
+    assert [tuple(row.values()) for row in out] == [("a", 4, 22), ("b", -2, -14), ("a", 2, 11), ("b", -1, -7)]
 
 
 def test_idle_stream_forgets_a_quiet_key(spark, feed, places):
