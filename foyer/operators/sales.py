@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foyer.functions.showing import SHOWING_KEY
@@ -25,6 +25,12 @@ def distinct_shows(tickets: DataFrame) -> DataFrame:
     return tickets.groupBy(*SHOWING_KEY).agg(F.count_distinct("show_code").alias("show_codes"))
 
 
+def _times(rows: Column, factor: Column) -> Column:
+    # A key with a third of a huge table overflows a bigint here, a decimal it does not.
+    wide = "decimal(38,0)"
+    return (rows.cast("decimal(19,0)") * factor.cast("decimal(19,0)")).cast(wide)
+
+
 def join_totals(left: DataFrame, right: DataFrame, keys: Sequence[str], measure: str) -> DataFrame:
     """Rows, and sum of the right side's ``measure``, of ``left JOIN right USING (keys)``.
 
@@ -38,8 +44,8 @@ def join_totals(left: DataFrame, right: DataFrame, keys: Sequence[str], measure:
     )
     return lefts.join(rights, list(keys)).select(
         *keys,
-        (F.col("left_rows") * F.col("right_rows")).alias("pairs"),
-        (F.col("left_rows") * F.col("right_sum")).alias(measure),
+        _times(F.col("left_rows"), F.col("right_rows")).alias("pairs"),
+        _times(F.col("left_rows"), F.col("right_sum")).alias(measure),
     )
 
 
@@ -47,7 +53,7 @@ def self_join_totals(rows: DataFrame, keys: Sequence[str], measure: str) -> Data
     """``join_totals(rows, rows, ...)`` in one pass over the rows."""
     count = F.count(F.lit(1))
     return rows.groupBy(*keys).agg(
-        (count * count).alias("pairs"), (count * F.sum(measure)).alias(measure)
+        _times(count, count).alias("pairs"), _times(count, F.sum(measure)).alias(measure)
     )
 
 

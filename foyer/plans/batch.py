@@ -71,16 +71,21 @@ def distinct_shows_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sales.distinct_shows(kept(tickets.sale_tickets(_feed(spark, sf_dir), shows=True)))
 
 
+def _whole_pairs(totals: DataFrame) -> DataFrame:
+    # As bigint, the type of the other counts; a value that does not fit is an error.
+    return totals.select(*SHOWING_KEY, *(F.col(name).cast("bigint").alias(name) for name in ("pairs", "amount")))
+
+
 def fanout_join_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pair counts of the tickets joined with themselves on the showing key, one pass."""
     rows = kept(tickets.sale_tickets(_feed(spark, sf_dir)))
-    return sales.self_join_totals(rows, SHOWING_KEY, "amount")
+    return _whole_pairs(sales.self_join_totals(rows, SHOWING_KEY, "amount"))
 
 
 def fanout_join_two_sides(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same from two inputs: ticket keys on one side, amounts on the other."""
     rows = kept(tickets.sale_tickets(_feed(spark, sf_dir)))
-    return sales.join_totals(rows.select(*SHOWING_KEY), rows, SHOWING_KEY, "amount")
+    return _whole_pairs(sales.join_totals(rows.select(*SHOWING_KEY), rows, SHOWING_KEY, "amount"))
 
 
 def presale_box_office(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,59 +1,61 @@
-"""Streaming queries: run the stream over the whole input, return the sink's table."""
+"""Streaming queries: run the job over the whole input, return its table."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from foyer.functions.showing import SHOWING_KEY
-from foyer.functions.text import line_field, space_tokens, tokens
+from foyer.functions.text import line_field
 from foyer.operators import counts, sales, tickets
-from foyer.operators.rejects import counted, kept
+from foyer.operators.rejects import kept
 from foyer.operators.sales import BOX_OFFICE_KEY
 from foyer.plans import inputs
 from foyer.plans.batch import OPENED, SINCE
 from foyer.session import shared_folder
 from foyer.sources.files import text_lines
 from foyer.sources.streams import file_lines
-from foyer.streaming import idle, run, sinks
-from foyer.streaming.tables import sales_table, trimmed_tokens
+from foyer.streaming import jobs, run, sinks
 
+Start = Callable[[str], StreamingQuery]
 
-def _upserted(spark: SparkSession, rows: DataFrame, name: str, keys: Sequence[str], **how) -> DataFrame:
-    """Run a stream to the end of its input into an upsert log; the log's current rows."""
+
+def _table(spark: SparkSession, name: str, keys: Sequence[str], start: Start) -> DataFrame:
+    """Run a keyed job to the end of its input in a new folder; its table."""
     folder = shared_folder(spark, name)
-    log = f"{folder}/table"
-    run.finish(run.start(rows, sinks.upsert_log(log, keys), f"{folder}/checkpoint", **how))
-    return sinks.upserted(spark, log, keys)
+    run.finish(start(folder))
+    return jobs.current_table(spark, folder, keys)
 
 
-def _feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return file_lines(spark, inputs.ticket_files(spark, sf_dir))
+def _batches(spark: SparkSession, name: str, start: Start) -> DataFrame:
+    """Run a per-batch job; here all input is one batch."""
+    folder = shared_folder(spark, name)
+    run.finish(start(folder))
+    return spark.read.parquet(jobs.table_path(folder)).drop("batch_id")
 
 
-def _running_sales(lines: DataFrame) -> DataFrame:
-    rows = kept(counted(tickets.sale_tickets(lines), "tickets"))
-    return sales_table(sales.sales_by_showing(rows))
+def _feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return file_lines(spark, inputs.ticket_files(spark, sf_dir))
 
 
 def ticket_sales_running(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Running sales per showing, the amount in whole currency units."""
-    return _upserted(spark, _running_sales(_feed(spark, sf_dir)), "ticket-sales", SHOWING_KEY)
+    lines = _feed(spark, sf_dir)
+    return _table(spark, "ticket-sales", SHOWING_KEY, lambda folder: jobs.ticket_sales(lines, folder, every=None))
 
 
 def csv_token_running(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Running counts of comma-separated tokens, keyed as the word table stores them."""
     lines = spark.readStream.schema("value string").parquet(inputs.comma_files(spark, sf_dir))
-    words = counts.token_rows(lines, lambda value: tokens(value, ","))
-    running = trimmed_tokens(words).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
-    return _upserted(spark, running, "csv-tokens", ["token"])
+    return _table(spark, "csv-tokens", ["token"], lambda folder: jobs.token_counts(lines, folder, every=None))
 
 
 def running_id_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    messages = counts.id_messages(inputs.id_lines(inputs.table_stream(spark, sf_dir, "events")))
-    return _upserted(spark, counts.id_counts(messages), "id-counts", ["id"])
+    lines = inputs.id_lines(inputs.table_stream(spark, sf_dir, "events"))
+    return _table(spark, "id-counts", ["id"], lambda folder: jobs.id_counts(lines, folder, every=None))
 
 
 def presale_seeded_state(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,51 +64,44 @@ def presale_seeded_state(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def write(path: str) -> None:
         earlier = text_lines(spark, inputs.ticket_files(spark, sf_dir)).where(sent < OPENED)
-        sales.box_office(kept(tickets.presale_tickets(earlier, SINCE))).write.parquet(path)
+        jobs.land_balances(sales.box_office(kept(tickets.presale_tickets(earlier, SINCE))), path)
 
-    path = inputs.landed(spark, sf_dir, "balances", write)
-    balances = spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
+    balances = jobs.balance_stream(spark, inputs.landed(spark, sf_dir, "balances", write))
     lines = _feed(spark, sf_dir).where(sent >= OPENED)
-    arriving = kept(counted(tickets.presale_tickets(lines, SINCE), "tickets"))
-    running = sales.seeded_box_office(arriving, balances)
-    return _upserted(spark, running, "presale", BOX_OFFICE_KEY)
+    return _table(
+        spark, "presale", BOX_OFFICE_KEY, lambda folder: jobs.presale(lines, balances, SINCE, folder, every=None)
+    )
 
 
 def stateful_idle_timeout(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Running presale box office with the 30-hour idle timeout."""
-    arriving = kept(tickets.presale_tickets(_feed(spark, sf_dir), SINCE))
-    running = idle.idle_box_office(arriving)
-    return _upserted(spark, running, "presale-idle", BOX_OFFICE_KEY, idle_batches=False)
+    lines = _feed(spark, sf_dir)
+    return _table(
+        spark, "presale-idle", BOX_OFFICE_KEY, lambda folder: jobs.presale_with_timeout(lines, SINCE, folder, every=None)
+    )
 
 
 def tumbling_window_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words per 5-second window of event time."""
     lines = inputs.event_lines(inputs.table_stream(spark, sf_dir, "events"))
-    windows = counts.window_counts(lines, space_tokens, "at")
-    named = windows.withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd HH:mm:ss"))
-    return _upserted(spark, named, "window-counts", ["window_start", "token"])
-
-
-def _per_batch(spark: SparkSession, lines: DataFrame, name: str, step) -> DataFrame:
-    folder = shared_folder(spark, name)
-    write = sinks.batch_tables(f"{folder}/table", step)
-    run.finish(run.start(lines, write, f"{folder}/checkpoint"))
-    return spark.read.parquet(f"{folder}/table").drop("batch_id")
+    windows = _table(
+        spark, "window-counts", ["window_start", "token"],
+        lambda folder: jobs.event_window_counts(lines, "at", folder, every=None),
+    )
+    return windows.withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd HH:mm:ss"))
 
 
 def pipe_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Counts of pipe-separated tokens within each batch; here all input is one batch."""
+    """Counts of pipe-separated tokens within the batch."""
     lines = inputs.pipe_lines(inputs.table_stream(spark, sf_dir, "part"))
-    return _per_batch(
-        spark, lines, "pipe-tokens", lambda batch: counts.token_counts(batch, lambda value: tokens(value, "|"))
-    )
+    return _batches(spark, "pipe-tokens", lambda folder: jobs.batch_token_counts(lines, folder, every=None))
 
 
 def fanout_join_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pair counts of the tickets of a batch joined with themselves on the showing key."""
-    return _per_batch(
-        spark, _feed(spark, sf_dir), "fanout-join",
-        lambda batch: sales.self_join_totals(kept(tickets.sale_tickets(batch)), SHOWING_KEY, "amount"),
+    """Pair counts of the batch's tickets joined with themselves on the showing key."""
+    lines = _feed(spark, sf_dir)
+    return _batches(spark, "fanout-join", lambda folder: jobs.showing_pairs(lines, folder, every=None)).select(
+        *SHOWING_KEY, *(F.col(name).cast("bigint").alias(name) for name in ("pairs", "amount"))
     )
 
 
@@ -117,29 +112,27 @@ def _quarter_of_files(spark: SparkSession, path: str) -> int:
 def stream_upsert_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Running id counts over several batches into an upsert log that folds as it grows."""
     path = inputs.id_files(spark, sf_dir)
-    folder = shared_folder(spark, "upsert")
-    log = f"{folder}/table"
     lines = file_lines(spark, path, files_per_batch=_quarter_of_files(spark, path))
-    running = counts.id_counts(counts.id_messages(lines))
-    write = sinks.upsert_log(log, ["id"], fold_every=2)
-    run.finish(run.start(running, write, f"{folder}/checkpoint"))
-    return sinks.upserted(spark, log, ["id"])
+
+    def start(folder: str) -> StreamingQuery:
+        write = sinks.upsert_log(jobs.table_path(folder), ["id"], fold_every=2)
+        return jobs.id_counts(lines, folder, every=None, write=write)
+
+    return _table(spark, "upsert", ["id"], start)
 
 
 def restart_from_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Running sales stopped after the first batch, then started again to the end."""
     path = inputs.ticket_files(spark, sf_dir)
     folder = shared_folder(spark, "restart")
-    log = f"{folder}/table"
 
-    def begin(**how):
+    def start(every: str | None) -> StreamingQuery:
         lines = file_lines(spark, path, files_per_batch=_quarter_of_files(spark, path))
-        write = sinks.upsert_log(log, SHOWING_KEY)
-        return run.start(_running_sales(lines), write, f"{folder}/checkpoint", **how)
+        return jobs.ticket_sales(lines, folder, every)
 
-    run.stop_after_batches(begin(every="0 seconds"), 1)
-    run.finish(begin())
-    return sinks.upserted(spark, log, SHOWING_KEY)
+    run.stop_after_batches(start("0 seconds"), 1)
+    run.finish(start(None))
+    return jobs.current_table(spark, folder, SHOWING_KEY)
 
 
 QUERIES = {

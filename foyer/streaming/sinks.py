@@ -11,16 +11,18 @@ from pyspark.sql.streaming import StreamingQuery
 from foyer.streaming.run import BatchWriter
 
 
-def upsert_log(path: str, keys: Sequence[str], fold_every: int = 100) -> BatchWriter:
+def upsert_log(path: str, keys: Sequence[str], fold_every: int = 100, files: int | None = None) -> BatchWriter:
     """Keyed upsert: rows of a later batch replace those of an earlier one.
 
     A batch adds only its own rows, as ``batch_id=<n>``, so its cost does not grow with
     the table; a batch that is retried writes the same place again. Every ``fold_every``
     batches the current rows are also written whole, and readers start from there.
     Keep the log and the checkpoint of one stream together: they share batch numbers.
+    ``files`` gathers a batch into so many files; else it is one per state partition.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}/part=changes")
+        changes = batch.repartition(files) if files else batch
+        changes.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}/part=changes")
         if batch_id % fold_every == fold_every - 1:
             changes_only = (F.col("batch_id") < batch_id) | (F.col("part") == "changes")
             whole = _latest(_since_fold(_log(batch.sparkSession, path).where(changes_only)), keys)

@@ -9,13 +9,13 @@ import pytest
 from conftest import line, rows, ticket
 from pyspark.sql import functions as F
 
+from foyer.functions.showing import SHOWING_KEY
 from foyer.functions.text import tokens
-from foyer.operators import counts, sales, tickets
-from foyer.operators.rejects import counted, kept
+from foyer.operators import counts
 from foyer.operators.sales import BOX_OFFICE_KEY
 from foyer.sources.streams import file_lines
-from foyer.streaming import idle, run, sinks
-from foyer.streaming.tables import sales_table, trimmed_tokens
+from foyer.streaming import idle, jobs, run, sinks
+from foyer.streaming.tables import trimmed_tokens
 
 
 @pytest.fixture
@@ -116,6 +116,12 @@ def test_upsert_log_later_wins_retry_and_fold(spark, places):
     assert re.search(r"PartitionFilters: \[isnotnull\(batch_id#\d+\), \(batch_id#\d+ >= 1\)\]", plan)
 
 
+def test_upsert_log_gathers_files(spark, places):
+    log, _ = places
+    sinks.upsert_log(log, ["k"], files=3)(frame(spark, *((str(i), i, "") for i in range(50))).repartition(8), 0)
+    assert len(spark.read.parquet(log).inputFiles()) == 3
+
+
 def test_upsert_statements():
     mysql = sinks.upsert_statement("t", "s", ["k", "n"], ["k"], "jdbc:mysql://h/db")
     assert mysql == "REPLACE INTO t (k, n) SELECT k, n FROM s"
@@ -126,15 +132,11 @@ def test_upsert_statements():
     )
 
 
-def test_sales_table_and_reject_metrics(spark, feed, places):
-    log, checkpoint = places
+def test_sales_table_and_reject_metrics(spark, feed, tmp_path):
     path = feed(line(ticket()), line(ticket(isRefund="Y")), line(ticket(movieCode="1")))
-    good = kept(counted(tickets.sale_tickets(file_lines(spark, path)), "tickets"))
-    table = sales_table(sales.sales_by_showing(good))
-    keys = table.columns[:5]
-    query = run.start(table, sinks.upsert_log(log, keys), checkpoint)
+    query = jobs.ticket_sales(file_lines(spark, path), str(tmp_path), every=None)
     run.finish(query)
-    assert rows(sinks.upserted(spark, log, keys)) == [("139", "8", "2019-12-19", "17:20", "05102342019", 2, 140.0)]
+    assert rows(jobs.current_table(spark, str(tmp_path), SHOWING_KEY)) == [("139", "8", "2019-12-19", "17:20", "05102342019", 2, 140.0)]
     metrics = [p.observedMetrics["tickets"] for p in query.recentProgress if "tickets" in p.observedMetrics]
     assert [(m["seen"], m["rejected"]) for m in metrics][0] == (3, 1)
 
@@ -153,19 +155,23 @@ def test_per_batch_results_do_not_mix_batches(spark, feed, places):
     assert rows(found) == [(0, "a", 2), (1, "a", 1), (1, "b", 1)]
 
 
-def test_seed_is_the_opening_balance_of_a_stream(spark, feed, places, tmp_path):
-    log, checkpoint = places
+def test_console_runs(spark, feed, places):
+    query = sinks.console(words(file_lines(spark, feed("a"))), places[1], every="0 seconds")
+    run.drain(query)
+    assert query.exception() is None and query.recentProgress[0].numInputRows == 1
+
+
+def test_seed_is_the_opening_balance_of_a_stream(spark, feed, tmp_path):
     key = ("2019-12-19", "17:20:00", "139", "051402342019")
     schema = ", ".join([*(f"{name} string" for name in BOX_OFFICE_KEY), "ticket_num bigint, ticket_amt bigint"])
     seed = str(tmp_path / "seed")
-    spark.createDataFrame([(*key, 10, 100_000), (*key[:3], "other", 3, 3)], schema).write.parquet(seed)
+    jobs.land_balances(spark.createDataFrame([(*key, 10, 100_000), (*key[:3], "other", 3, 3)], schema), seed)
     feed(line(ticket()))
     path = feed(line(ticket()), line(ticket(isRefund="Y")), line(ticket()))
-    balances = spark.readStream.schema(schema).parquet(seed)
-    arriving = kept(tickets.presale_tickets(file_lines(spark, path, files_per_batch=1), "2019-12-01"))
-    running = sales.seeded_box_office(arriving, balances)
-    run.finish(run.start(running, sinks.upsert_log(log, BOX_OFFICE_KEY), checkpoint))
-    assert rows(sinks.upserted(spark, log, BOX_OFFICE_KEY)) == [(*key, 12, 114_000)]
+    lines = file_lines(spark, path, files_per_batch=1)
+    folder = str(tmp_path)
+    run.finish(jobs.presale(lines, jobs.balance_stream(spark, seed), "2019-12-01", folder, every=None))
+    assert rows(jobs.current_table(spark, folder, BOX_OFFICE_KEY)) == [(*key, 12, 114_000)]
 
 
 class FakeState:
@@ -213,12 +219,11 @@ def test_idle_combiner_sums_whole_stretches(monkeypatch):
     assert [tuple(row.values()) for row in out] == [("a", 4, 22), ("b", -2, -14), ("a", 2, 11), ("b", -1, -7)]
 
 
-def test_idle_stream_forgets_a_quiet_key(spark, feed, places):
-    log, checkpoint = places
+def test_idle_stream_forgets_a_quiet_key(spark, feed, tmp_path):
+    log = str(tmp_path / "log")
     path = feed(line(ticket()))
-    arriving = kept(tickets.presale_tickets(file_lines(spark, path), "2019-12-01"))
-    running = idle.idle_box_office(arriving, idle_ms=1500)
-    query = run.start(running, sinks.batch_tables(log, lambda batch: batch), checkpoint, every="1 second", state_partitions=2)
+    write = sinks.batch_tables(log, lambda batch: batch)
+    query = jobs.presale_with_timeout(file_lines(spark, path), "2019-12-01", str(tmp_path), "1 second", write, idle_ms=1500)
 
     def seen() -> list[int]:
         table = spark.read.schema("ticket_num bigint, batch_id int").parquet(log)
@@ -248,11 +253,9 @@ def test_idle_stream_forgets_a_quiet_key(spark, feed, places):
     assert seen()[:3] == [1, 1, 1]
 
 
-def test_arrival_windows_come_out_once(spark, feed, places):
-    log, checkpoint = places
-    lines = file_lines(spark, feed("a,b,a"))
-    windows = counts.arrival_window_counts(lines, lambda value: tokens(value, ","), "1 second")
-    query = run.start(windows, sinks.batch_tables(log, lambda batch: batch), checkpoint, every="0 seconds", mode="append", state_partitions=2)
+def test_arrival_windows_come_out_once(spark, feed, tmp_path):
+    lines = file_lines(spark, feed("a b a"))
+    query = jobs.window_token_counts(lines, str(tmp_path), every="0 seconds", width="1 second")
     try:
         query.processAllAvailable()
         time.sleep(1.5)
@@ -260,7 +263,7 @@ def test_arrival_windows_come_out_once(spark, feed, places):
         query.processAllAvailable()
     finally:
         query.stop()
-    found = spark.read.parquet(log)
+    found = spark.read.parquet(jobs.table_path(str(tmp_path)))
     assert rows(found.select("token", "n")) == [("a", 2), ("b", 1)]
     assert found.select("window_start").distinct().count() == 1
 

@@ -112,6 +112,14 @@ def test_join_totals_equals_the_joined_rows(pairs):
     assert rows(sales.self_join_totals(right, ["k"], "amount")) == rows(twin)
 
 
+def test_pairs_of_a_huge_key_do_not_overflow(spark):
+    row = spark.range(1).select(
+        sales._times(F.lit(4 * 10**11), F.lit(4 * 10**11)).alias("pairs"),
+        sales._times(F.lit(4 * 10**11), F.lit(-4 * 10**18)).alias("amount"),
+    ).first()
+    assert tuple(map(int, row)) == (16 * 10**22, -16 * 10**29)
+
+
 def test_seeded_box_office_puts_out_fed_keys_only(spark):
     columns = "date_id string, show_time string, cinemaInnerCode string, movieCode string, ticket_num bigint, ticket_amt bigint"
     seed = spark.createDataFrame([("d", "t", "1", "m", 10, 1000), ("d", "t", "2", "m", 5, 50)], columns)
