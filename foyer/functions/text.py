@@ -17,11 +17,14 @@ TRIM_CHARS = "".join(map(chr, range(33)))
 
 def line_field(line: Column, index: int) -> Column:
     """Field ``index`` of a delimited feed line; NULL where the line is too short."""
-    if index == 0:
-        return F.substring_index(line, FIELD_SEPARATOR, 1)
     return F.get(F.split(line, FIELD_SEPARATOR), F.lit(index))
 
 
+def has_tag(line: Column, tag: str) -> Column:
+    """Whether field 0 of a line with further fields is ``tag``."""
+    return F.startswith(line, F.lit(tag + FIELD_SEPARATOR))
+
+
 def _tokens(text: Column, pattern: str, delimiters: str) -> Column:
     # A text of delimiters only has no token, the empty text has one empty token, and
     # empty tokens count except at the end. Trimming the end first gives all three.

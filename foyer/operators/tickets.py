@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from foyer.functions.pay import loose_pay_total, pay_total
 from foyer.functions.showing import business_date, clock_part, showing_key
-from foyer.functions.text import json_field, line_field
+from foyer.functions.text import has_tag, json_field, line_field
 from foyer.operators.rejects import reject_reason
 from foyer.schemas import LOOSE_PAY_ITEMS, PAY_VALUES, SHOW_DETAILS, TICKET_TOPIC, ticket_record
 
@@ -67,7 +67,7 @@ def presale_tickets(lines: DataFrame, since: str, topic: str = TICKET_TOPIC) ->
     Only lines tagged ``topic`` count. A ticket marked ``N`` adds; any other mark, or
     none, takes away.
     """
-    tagged = lines.where(line_field(F.col("value"), 0) == topic)
+    tagged = lines.where(has_tag(F.col("value"), topic))
     record = ticket_record(
         "cinemaInnerCode", "movieCode", "movieShowStartTime", "isRefund",
         ticketPayInfo=LOOSE_PAY_ITEMS,

@@ -16,7 +16,7 @@ from foyer.functions.text import json_field, space_tokens, tokens
 from foyer.operators import counts, sales, tickets
 from foyer.operators.rejects import kept
 from foyer.plans import inputs
-from foyer.schemas import LOOSE_PAY_ITEMS, PAY_ITEMS, ticket_record
+from foyer.schemas import LOOSE_PAY_ITEMS, PAY_CODES, PAY_VALUES, ticket_record
 from foyer.sources.files import json_tickets, landed_log, text_lines
 from foyer.sources.tables import attach_table, point_filter
 
@@ -61,7 +61,7 @@ def ticket_pay_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
         _feed(spark, sf_dir),
         ticket_record("ticketCode", "isRefund", ticketPayInfo=LOOSE_PAY_ITEMS),
     ).select("ticket.*")
-    strict = pay_total(F.col("ticketPayInfo").cast(PAY_ITEMS.replace(",cardNums:string", "")))
+    strict = pay_total(F.col("ticketPayInfo").cast(PAY_CODES))
     return body.select(
         "ticketCode", "isRefund", strict.alias("pay"), loose_pay_total(F.col("ticketPayInfo")).alias("loose_pay")
     )
@@ -103,13 +103,20 @@ def landed_log_distinct_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def landed_orders_count_by_cinema(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders per cinema from the landed log, in SQL text with the registered function."""
+    """Orders per cinema from the landed log, in SQL text with the registered function.
+
+    On a bare column ``explode`` adds a filter on it, and the array would be parsed again
+    for that; ``coalesce`` keeps it to one parse.
+    """
     register_functions(spark)
     log = landed_log(spark, inputs.landed_files(spark, sf_dir))
     return spark.sql(
         """
         SELECT from_json(order, 'cinemaInnerCode string').cinemaInnerCode AS cinemaInnerCode, count(*) AS cnt
-        FROM (SELECT DISTINCT explode(items) AS order FROM (SELECT str_to_jsonArray(data) AS items FROM {log}))
+        FROM (
+          SELECT DISTINCT explode(coalesce(items, array())) AS order
+          FROM (SELECT str_to_jsonArray(data) AS items FROM {log})
+        )
         GROUP BY 1
         """,
         log=log,
@@ -120,19 +127,19 @@ def orders_json_count_by_cinema(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sales.count_by_cinema(json_tickets(spark, inputs.json_files(spark, sf_dir)))
 
 
-def _pay_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _pay_arrays(spark: SparkSession, sf_dir: str, items: str) -> DataFrame:
     register_functions(spark)
-    return _tickets(spark, sf_dir, "ticketCode", "isRefund", "ticketPayInfo")
+    return _tickets(spark, sf_dir, "ticketCode", "isRefund", ticketPayInfo=items)
 
 
 def array_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _pay_arrays(spark, sf_dir).selectExpr(
+    return _pay_arrays(spark, sf_dir, PAY_VALUES).selectExpr(
         "ticketCode", "isRefund", "getArraySum(ticketPayInfo.payValue) AS total"
     )
 
 
 def dominant_pay_mode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _pay_arrays(spark, sf_dir).selectExpr(
+    return _pay_arrays(spark, sf_dir, PAY_CODES).selectExpr(
         "ticketCode", "isRefund", "getPayMode(ticketPayInfo.payCode, ticketPayInfo.payValue) AS pay_mode"
     )
 

@@ -32,7 +32,8 @@ def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def spread(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     """Columns of a table; if it scans in fewer tasks than there are cores, shared by all.
 
-    A table of many files fills the cluster as it is and is not moved.
+    Spark cuts any table above 4 MiB per core into a task for each, so this moves small
+    tables only.
     """
     rows = table(spark, sf_dir, name).select(*columns)
     cores = spark.sparkContext.defaultParallelism

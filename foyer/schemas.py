@@ -61,7 +61,8 @@ TICKET_FIELDS = {
 
 # Pay items whose value may come quoted: read as text, cast by the job.
 LOOSE_PAY_ITEMS = "array<struct<payCode:string,payValue:string>>"
-# Pay items reduced to the value alone.
+# Pay items reduced to what a job reads.
+PAY_CODES = "array<struct<payCode:string,payValue:bigint>>"
 PAY_VALUES = "array<struct<payValue:bigint>>"
 
 

@@ -44,6 +44,11 @@ def test_line_field(evaluate):
     assert [evaluate(text.line_field(F.col("s"), i), "s string", line) for i in range(4)] == ["t", "[1]", " s ", None]
 
 
+def test_has_tag(evaluate):
+    tagged = {line: evaluate(text.has_tag(F.col("s"), "t"), "s string", line) for line in ("t\u0001x", "tt\u0001x", "t", "")}
+    assert list(tagged.values()) == [True, False, False, False]
+
+
 def test_json_field_text_tells_null_from_absent(evaluate):
     body = '{"a": "x\\"y", "n": 7, "z": null, "o": {"k": "v"}}'
     got = {name: evaluate(text.json_field_text(F.col("s"), name), "s string", body) for name in "anzo"}
