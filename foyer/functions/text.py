@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import re
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -27,10 +29,13 @@ def has_tag(line: Column, tag: str) -> Column:
 
 def _tokens(text: Column, pattern: str, delimiters: str) -> Column:
     # A text of delimiters only has no token, the empty text has one empty token, and
-    # empty tokens count except at the end. Trimming the end first gives all three.
+    # empty tokens count except at the end. Trimming the end first gives all three; most
+    # texts end in something else and are split as they are.
+    ends = reduce(or_, (F.endswith(text, F.lit(delimiter)) for delimiter in delimiters))
     kept = F.rtrim(text, F.lit(delimiters))
     none = F.array().cast("array<string>")
-    return F.when((kept == "") & (text != ""), none).otherwise(F.split(kept, pattern))
+    trimmed = F.when(kept == "", none).otherwise(F.split(kept, pattern))
+    return F.when(ends, trimmed).otherwise(F.split(text, pattern))
 
 
 def tokens(text: Column, delimiter: str) -> Column:

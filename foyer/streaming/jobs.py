@@ -52,9 +52,14 @@ def _per_batch(lines: DataFrame, folder: str, every: str | None, step: Callable[
     return run.start(lines, sinks.batch_tables(table_path(folder), step), f"{folder}/checkpoint", every)
 
 
+def _good(rows: DataFrame) -> DataFrame:
+    # Without the line, which counting in passing would carry along for each ticket.
+    return kept(counted(rows.drop("line"), "tickets"))
+
+
 def ticket_sales(lines: DataFrame, folder: str, every: str | None = "10 seconds", write: BatchWriter | None = None) -> StreamingQuery:
     """Running tickets and amount per showing, in whole currency units."""
-    good = kept(counted(tickets.sale_tickets(lines), "tickets"))
+    good = _good(tickets.sale_tickets(lines))
     return _keyed(sales_table(sales.sales_by_showing(good)), folder, SHOWING_KEY, every, write)
 
 
@@ -71,7 +76,7 @@ def balance_stream(spark: SparkSession, path: str) -> DataFrame:
 
 def presale(lines: DataFrame, balances: DataFrame, since: str, folder: str, every: str | None = "5 seconds", write: BatchWriter | None = None) -> StreamingQuery:
     """Running presale box office on opening balances; no key is ever dropped."""
-    arriving = kept(counted(tickets.presale_tickets(lines, since), "tickets"))
+    arriving = _good(tickets.presale_tickets(lines, since))
     return _keyed(sales.seeded_box_office(arriving, balances), folder, BOX_OFFICE_KEY, every, write)
 
 
@@ -80,7 +85,7 @@ def presale_with_timeout(
     idle_ms: int = idle.THIRTY_HOURS_MS,
 ) -> StreamingQuery:
     """Running presale box office that forgets a key after ``idle_ms`` without tickets."""
-    arriving = kept(counted(tickets.presale_tickets(lines, since), "tickets"))
+    arriving = _good(tickets.presale_tickets(lines, since))
     rows = idle.idle_box_office(arriving, idle_ms)
     return _keyed(rows, folder, BOX_OFFICE_KEY, every, write, idle_batches=every is not None)
 

@@ -129,8 +129,8 @@ def test_seeded_box_office_puts_out_fed_keys_only(spark):
 
 def test_distinct_shows(lines):
     feed = lines(*(line(ticket(showCode=code)) for code in ("x", "x", "y")))
-    found = sales.distinct_shows(kept(tickets.sale_tickets(feed, shows=True)))
-    assert rows(found) == [(*KEY, 2)]
+    good = kept(tickets.sale_tickets(feed, shows=True))
+    assert rows(sales.distinct_shows(good)) == rows(sales.distinct_shows(good, exact=False)) == [(*KEY, 2)]
 
 
 def test_schedule_messages(lines):
