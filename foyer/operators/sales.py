@@ -65,20 +65,28 @@ def box_office(tickets: DataFrame) -> DataFrame:
     )
 
 
-def seeded_box_office(tickets: DataFrame, balances: DataFrame) -> DataFrame:
-    """As ``box_office``, starting from opening balances of the same columns.
-
-    Only keys with a ticket come out; a key that has a balance and no ticket does not.
-    """
+def fed_rows(tickets: DataFrame, balances: DataFrame | None = None) -> DataFrame:
+    """Tickets, and opening balances of the same columns, told apart by ``fed``: 1 and 0."""
     measures = ("ticket_num", "ticket_amt")
-    fed = tickets.select(*BOX_OFFICE_KEY, *measures, F.lit(1).alias("fed"))
+    fed = tickets.select(*BOX_OFFICE_KEY, *measures, F.lit(1).cast("bigint").alias("fed"))
+    if balances is None:
+        return fed
     seed = balances.select(
         *(F.coalesce(F.col(key).cast("string"), F.lit("-")).alias(key) for key in BOX_OFFICE_KEY),
         *(F.coalesce(F.col(name).cast("bigint"), F.lit(0)).alias(name) for name in measures),
-        F.lit(0).alias("fed"),
+        F.lit(0).cast("bigint").alias("fed"),
     )
-    totals = fed.unionByName(seed).groupBy(*BOX_OFFICE_KEY).agg(
-        *(F.sum(name).alias(name) for name in measures), F.max("fed").alias("fed")
+    return fed.unionByName(seed)
+
+
+def seeded_box_office(tickets: DataFrame, balances: DataFrame | None = None) -> DataFrame:
+    """As ``box_office``, starting from opening balances.
+
+    Only keys with a ticket come out; a key that has a balance and no ticket does not.
+    """
+    totals = fed_rows(tickets, balances).groupBy(*BOX_OFFICE_KEY).agg(
+        F.sum("ticket_num").alias("ticket_num"), F.sum("ticket_amt").alias("ticket_amt"),
+        F.max("fed").alias("fed"),
     )
     return totals.where(F.col("fed") == 1).drop("fed")
 

@@ -56,6 +56,8 @@ FROM keyed GROUP BY {_KEY}"""
 _BOX_OFFICE = f"""{_TICKETS}
 SELECT {_PRESALE_KEY}, {_SIGNED} FROM presale WHERE date_id >= '{SINCE}' GROUP BY {_PRESALE_KEY}"""
 
+_SEEDED = f"{_BOX_OFFICE} HAVING max(l_shipdate) >= '{OPENED}'"
+
 _ID_COUNTS = """
 SELECT CAST(user_id AS VARCHAR) AS id, count(*) AS n FROM events WHERE event_type <> 'error' GROUP BY 1"""
 
@@ -87,8 +89,8 @@ SELECT {_KEY}, count(DISTINCT show_code) AS show_codes FROM keyed GROUP BY {_KEY
     "fanout_join_two_sides": _PAIRS,
     "fanout_join_stream": _PAIRS,
     "presale_box_office": _BOX_OFFICE,
-    "stateful_idle_timeout": _BOX_OFFICE,
-    "presale_seeded_state": f"{_BOX_OFFICE} HAVING max(l_shipdate) >= '{OPENED}'",
+    "presale_seeded_state": _SEEDED,
+    "stateful_idle_timeout": _SEEDED,
     "landed_log_distinct_orders": f"""{_TICKETS}
 SELECT DISTINCT "ticketCode", "isRefund", "cinemaInnerCode", "hallCode", "movieShowStartTime", "movieCode",
   cents AS "ticketPrice" FROM (

@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from foyer.functions.showing import SHOWING_KEY
 from foyer.functions.text import line_field
-from foyer.operators import counts, sales, tickets
+from foyer.operators import sales, tickets
 from foyer.operators.rejects import kept
 from foyer.operators.sales import BOX_OFFICE_KEY
 from foyer.plans import inputs
@@ -19,6 +19,7 @@ from foyer.session import shared_folder
 from foyer.sources.files import text_lines
 from foyer.sources.streams import file_lines
 from foyer.streaming import jobs, run, sinks
+from foyer.streaming.idle import THIRTY_HOURS_MS
 
 Start = Callable[[str], StreamingQuery]
 
@@ -44,7 +45,9 @@ def _feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ticket_sales_running(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Running sales per showing, the amount in whole currency units."""
     lines = _feed(spark, sf_dir)
-    return _table(spark, "ticket-sales", SHOWING_KEY, lambda folder: jobs.ticket_sales(lines, folder, every=None))
+    return _table(
+        spark, "ticket-sales", SHOWING_KEY, lambda folder: jobs.ticket_sales(lines, folder, every=None)
+    )
 
 
 def csv_token_running(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,8 +61,8 @@ def running_id_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, "id-counts", ["id"], lambda folder: jobs.id_counts(lines, folder, every=None))
 
 
-def presale_seeded_state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Running presale box office, on balances made of the lines sent before ``OPENED``."""
+def _presale(spark: SparkSession, sf_dir: str, name: str, idle_ms: int | None) -> DataFrame:
+    """The presale job on balances made of the lines sent before ``OPENED``."""
     sent = line_field(F.col("value"), 2)
 
     def write(path: str) -> None:
@@ -69,16 +72,19 @@ def presale_seeded_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     balances = jobs.balance_stream(spark, inputs.landed(spark, sf_dir, "balances", write))
     lines = _feed(spark, sf_dir).where(sent >= OPENED)
     return _table(
-        spark, "presale", BOX_OFFICE_KEY, lambda folder: jobs.presale(lines, balances, SINCE, folder, every=None)
+        spark, name, BOX_OFFICE_KEY,
+        lambda folder: jobs.presale(lines, SINCE, folder, balances, idle_ms, every=None),
     )
 
 
+def presale_seeded_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Running presale box office on opening balances."""
+    return _presale(spark, sf_dir, "presale", None)
+
+
 def stateful_idle_timeout(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Running presale box office with the 30-hour idle timeout."""
-    lines = _feed(spark, sf_dir)
-    return _table(
-        spark, "presale-idle", BOX_OFFICE_KEY, lambda folder: jobs.presale_with_timeout(lines, SINCE, folder, every=None)
-    )
+    """The same with the 30-hour idle timeout."""
+    return _presale(spark, sf_dir, "presale-idle", THIRTY_HOURS_MS)
 
 
 def tumbling_window_count(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,14 +12,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from foyer.operators.sales import BOX_OFFICE_KEY
+from foyer.operators.sales import BOX_OFFICE_KEY, fed_rows
 
 # Executors get these functions with the plan and need not have the package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-_MEASURES = ("ticket_num", "ticket_amt")
+_MEASURES = ("ticket_num", "ticket_amt", "fed")
 _TOTALS = "ticket_num bigint, ticket_amt bigint"
-_KEYED = f"key string, {_TOTALS}"
 
 # Fixed value: 108,000 s.
 THIRTY_HOURS_MS = 108_000 * 1000
@@ -48,25 +47,33 @@ def _combine(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from _sums(held)
 
 
-def add_to_state(idle_ms: int, key: tuple, frames: Iterable[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """Add the batch's sums to the key's totals and put them out.
+def add_to_state(
+    idle_ms: int, key: tuple, frames: Iterable[pd.DataFrame], state: GroupState
+) -> Iterator[pd.DataFrame]:
+    """Add the batch's sums to the key's totals and put them out if tickets came.
 
     A key that has timed out comes out once more, unchanged, and is forgotten.
     """
     num, amt = state.get if state.exists else (0, 0)
     if state.hasTimedOut:
         state.remove()
+        out = True
     else:
+        out = False
         for frame in frames:
             num += int(frame["ticket_num"].to_numpy().sum())
             amt += int(frame["ticket_amt"].to_numpy().sum())
+            out = out or bool(frame["fed"].to_numpy().any())
         state.update((num, amt))
         state.setTimeoutDuration(idle_ms)
-    yield pd.DataFrame({"key": [key[0]], "ticket_num": [num], "ticket_amt": [amt]})
+    if out:
+        yield pd.DataFrame({"key": [key[0]], "ticket_num": [num], "ticket_amt": [amt]})
 
 
-def idle_box_office(tickets: DataFrame, idle_ms: int = THIRTY_HOURS_MS) -> DataFrame:
-    """Signed totals of the keys each batch touches or expires, for ``update`` mode.
+def idle_box_office(
+    tickets: DataFrame, balances: DataFrame | None = None, idle_ms: int = THIRTY_HOURS_MS
+) -> DataFrame:
+    """``seeded_box_office`` of a stream, in ``update`` mode, with a timeout.
 
     The clock is processing time. With an ``availableNow`` trigger start the stream with
     ``idle_batches=False``, or it keeps running empty batches to watch the clock.
@@ -76,9 +83,12 @@ def idle_box_office(tickets: DataFrame, idle_ms: int = THIRTY_HOURS_MS) -> DataF
 
     # The cost of a key in Python grows with its columns, so the four travel as one.
     packed = F.to_json(F.struct(*BOX_OFFICE_KEY)).alias("key")
-    sums = tickets.select(packed, *_MEASURES).mapInArrow(_combine, _KEYED)
+    rows = fed_rows(tickets, balances).select(packed, *_MEASURES)
+    sums = rows.mapInArrow(_combine, f"key string, {_TOTALS}, fed bigint")
     totals = sums.groupBy("key").applyInPandasWithState(
-        step, _KEYED, _TOTALS, "update", GroupStateTimeout.ProcessingTimeTimeout
+        step, f"key string, {_TOTALS}", _TOTALS, "update", GroupStateTimeout.ProcessingTimeTimeout
     )
     unpacked = F.from_json("key", ", ".join(f"{name} string" for name in BOX_OFFICE_KEY))
-    return totals.select(unpacked.alias("key"), *_MEASURES).select("key.*", *_MEASURES)
+    return totals.select(unpacked.alias("key"), "ticket_num", "ticket_amt").select(
+        "key.*", "ticket_num", "ticket_amt"
+    )

@@ -43,13 +43,19 @@ def current_table(spark: SparkSession, folder: str, keys: Sequence[str]) -> Data
     return sinks.upserted(spark, table_path(folder), keys)
 
 
-def _keyed(rows: DataFrame, folder: str, keys: Sequence[str], every: str | None, write: BatchWriter | None, **how) -> StreamingQuery:
+def _keyed(
+    rows: DataFrame, folder: str, keys: Sequence[str], every: str | None,
+    write: BatchWriter | None, **how,
+) -> StreamingQuery:
     write = write or sinks.upsert_log(table_path(folder), keys)
     return run.start(rows, write, f"{folder}/checkpoint", every, **how)
 
 
-def _per_batch(lines: DataFrame, folder: str, every: str | None, step: Callable[[DataFrame], DataFrame]) -> StreamingQuery:
-    return run.start(lines, sinks.batch_tables(table_path(folder), step), f"{folder}/checkpoint", every)
+def _per_batch(
+    lines: DataFrame, folder: str, every: str | None, step: Callable[[DataFrame], DataFrame],
+) -> StreamingQuery:
+    write = sinks.batch_tables(table_path(folder), step)
+    return run.start(lines, write, f"{folder}/checkpoint", every)
 
 
 def _good(rows: DataFrame) -> DataFrame:
@@ -57,7 +63,10 @@ def _good(rows: DataFrame) -> DataFrame:
     return kept(counted(rows.drop("line"), "tickets"))
 
 
-def ticket_sales(lines: DataFrame, folder: str, every: str | None = "10 seconds", write: BatchWriter | None = None) -> StreamingQuery:
+def ticket_sales(
+    lines: DataFrame, folder: str, every: str | None = "10 seconds",
+    write: BatchWriter | None = None,
+) -> StreamingQuery:
     """Running tickets and amount per showing, in whole currency units."""
     good = _good(tickets.sale_tickets(lines))
     return _keyed(sales_table(sales.sales_by_showing(good)), folder, SHOWING_KEY, every, write)
@@ -74,30 +83,34 @@ def balance_stream(spark: SparkSession, path: str) -> DataFrame:
     return spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
 
 
-def presale(lines: DataFrame, balances: DataFrame, since: str, folder: str, every: str | None = "5 seconds", write: BatchWriter | None = None) -> StreamingQuery:
-    """Running presale box office on opening balances; no key is ever dropped."""
-    arriving = _good(tickets.presale_tickets(lines, since))
-    return _keyed(sales.seeded_box_office(arriving, balances), folder, BOX_OFFICE_KEY, every, write)
-
-
-def presale_with_timeout(
-    lines: DataFrame, since: str, folder: str, every: str | None = "5 seconds", write: BatchWriter | None = None,
-    idle_ms: int = idle.THIRTY_HOURS_MS,
+def presale(
+    lines: DataFrame, since: str, folder: str, balances: DataFrame | None = None,
+    idle_ms: int | None = idle.THIRTY_HOURS_MS, every: str | None = "5 seconds",
+    write: BatchWriter | None = None,
 ) -> StreamingQuery:
-    """Running presale box office that forgets a key after ``idle_ms`` without tickets."""
+    """Running presale box office on opening balances, forgetting a key after ``idle_ms``
+    without tickets. With ``None`` no key is forgotten, and no step runs in Python."""
     arriving = _good(tickets.presale_tickets(lines, since))
-    rows = idle.idle_box_office(arriving, idle_ms)
+    if idle_ms is None:
+        return _keyed(sales.seeded_box_office(arriving, balances), folder, BOX_OFFICE_KEY, every, write)
+    rows = idle.idle_box_office(arriving, balances, idle_ms)
     return _keyed(rows, folder, BOX_OFFICE_KEY, every, write, idle_batches=every is not None)
 
 
-def token_counts(lines: DataFrame, folder: str, every: str | None = "10 seconds", write: BatchWriter | None = None, split: Tokens = comma_tokens) -> StreamingQuery:
+def token_counts(
+    lines: DataFrame, folder: str, every: str | None = "10 seconds",
+    write: BatchWriter | None = None, split: Tokens = comma_tokens,
+) -> StreamingQuery:
     """Running counts of tokens, trimmed as the word table stores them."""
     words = trimmed_tokens(counts.token_rows(lines, split))
     running = words.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
     return _keyed(running, folder, ["token"], every, write)
 
 
-def id_counts(lines: DataFrame, folder: str, every: str | None = "5 seconds", write: BatchWriter | None = None) -> StreamingQuery:
+def id_counts(
+    lines: DataFrame, folder: str, every: str | None = "5 seconds",
+    write: BatchWriter | None = None,
+) -> StreamingQuery:
     """Running counts of the ids of JSON messages."""
     return _keyed(counts.id_counts(counts.id_messages(lines)), folder, ["id"], every, write)
 
@@ -110,18 +123,27 @@ def showing_pairs(lines: DataFrame, folder: str, every: str | None = "10 seconds
     return _per_batch(lines, folder, every, step)
 
 
-def batch_token_counts(lines: DataFrame, folder: str, every: str | None = "1 second", split: Tokens = pipe_tokens) -> StreamingQuery:
+def batch_token_counts(
+    lines: DataFrame, folder: str, every: str | None = "1 second", split: Tokens = pipe_tokens,
+) -> StreamingQuery:
     """Per batch: counts of tokens."""
     return _per_batch(lines, folder, every, lambda batch: counts.token_counts(batch, split))
 
 
-def window_token_counts(lines: DataFrame, folder: str, every: str | None = "1 second", width: str = "5 seconds", split: Tokens = space_tokens) -> StreamingQuery:
+def window_token_counts(
+    lines: DataFrame, folder: str, every: str | None = "1 second", width: str = "5 seconds",
+    split: Tokens = space_tokens,
+) -> StreamingQuery:
     """Counts of tokens per window of arrival time, each window once, when it is over."""
     windows = counts.arrival_window_counts(lines, split, width)
-    return run.start(windows, sinks.batch_tables(table_path(folder), lambda batch: batch), f"{folder}/checkpoint", every, mode="append")
+    write = sinks.batch_tables(table_path(folder), lambda batch: batch)
+    return run.start(windows, write, f"{folder}/checkpoint", every, mode="append")
 
 
-def event_window_counts(lines: DataFrame, at: str, folder: str, every: str | None = "1 second", width: str = "5 seconds", split: Tokens = space_tokens) -> StreamingQuery:
+def event_window_counts(
+    lines: DataFrame, at: str, folder: str, every: str | None = "1 second",
+    width: str = "5 seconds", split: Tokens = space_tokens,
+) -> StreamingQuery:
     """Counts of tokens per window of the time column ``at``.
 
     Give ``lines`` a watermark to bound the state; rows later than it are then left out.

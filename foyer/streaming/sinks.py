@@ -11,7 +11,9 @@ from pyspark.sql.streaming import StreamingQuery
 from foyer.streaming.run import BatchWriter
 
 
-def upsert_log(path: str, keys: Sequence[str], fold_every: int = 100, files: int | None = None) -> BatchWriter:
+def upsert_log(
+    path: str, keys: Sequence[str], fold_every: int = 100, files: int | None = None,
+) -> BatchWriter:
     """Keyed upsert: rows of a later batch replace those of an earlier one.
 
     A batch adds only its own rows, as ``batch_id=<n>``, so its cost does not grow with
@@ -101,7 +103,10 @@ def jdbc_upsert(
     return write
 
 
-def console(rows: DataFrame, checkpoint: str, mode: str = "update", every: str = "10 seconds", show: int = 10) -> StreamingQuery:
+def console(
+    rows: DataFrame, checkpoint: str, mode: str = "update", every: str = "10 seconds",
+    show: int = 10,
+) -> StreamingQuery:
     """Print the first rows of each batch."""
     writer = rows.writeStream.format("console").outputMode(mode).option("numRows", show)
     return writer.option("checkpointLocation", checkpoint).trigger(processingTime=every).start()

@@ -161,7 +161,8 @@ def test_console_runs(spark, feed, places):
     assert query.exception() is None and query.recentProgress[0].numInputRows == 1
 
 
-def test_seed_is_the_opening_balance_of_a_stream(spark, feed, tmp_path):
+@pytest.mark.parametrize("idle_ms", [None, idle.THIRTY_HOURS_MS])
+def test_seed_is_the_opening_balance_of_a_stream(spark, feed, tmp_path, idle_ms):
     key = ("2019-12-19", "17:20:00", "139", "051402342019")
     schema = ", ".join([*(f"{name} string" for name in BOX_OFFICE_KEY), "ticket_num bigint, ticket_amt bigint"])
     seed = str(tmp_path / "seed")
@@ -170,7 +171,8 @@ def test_seed_is_the_opening_balance_of_a_stream(spark, feed, tmp_path):
     path = feed(line(ticket()), line(ticket(isRefund="Y")), line(ticket()))
     lines = file_lines(spark, path, files_per_batch=1)
     folder = str(tmp_path)
-    run.finish(jobs.presale(lines, jobs.balance_stream(spark, seed), "2019-12-01", folder, every=None))
+    balances = jobs.balance_stream(spark, seed)
+    run.finish(jobs.presale(lines, "2019-12-01", folder, balances, idle_ms, every=None))
     assert rows(jobs.current_table(spark, folder, BOX_OFFICE_KEY)) == [(*key, 12, 114_000)]
 
 
@@ -196,34 +198,48 @@ class FakeState:
 
 def step(state, *frames):
     key = ("k",)
-    data = [pd.DataFrame(f, columns=["ticket_num", "ticket_amt"]) for f in frames]
-    (out,) = idle.add_to_state(1000, key, data, state)
-    return out.iloc[0].tolist()
+    data = [pd.DataFrame(f, columns=["ticket_num", "ticket_amt", "fed"]) for f in frames]
+    out = list(idle.add_to_state(1000, key, data, state))
+    return out[0].iloc[0].tolist() if out else None
 
 
 def test_idle_state_adds_expires_and_starts_again():
     state = FakeState()
-    assert step(state, [(1, 10)], [(2, 20), (-1, -5)]) == ["k", 2, 25]
+    assert step(state, [(1, 10, 1)], [(2, 20, 2), (-1, -5, 1)]) == ["k", 2, 25]
     assert (state.value, state.timeout) == ((2, 25), 1000)
     state.hasTimedOut = True
     assert step(state) == ["k", 2, 25]
     assert not state.exists
     state.hasTimedOut = False
-    assert step(state, [(1, 1)]) == ["k", 1, 1]
+    assert step(state, [(1, 1, 1)]) == ["k", 1, 1]
+
+
+def test_idle_state_keeps_a_balance_quiet_until_a_ticket_or_the_timeout():
+    state = FakeState()
+    assert step(state, [(10, 1000, 0)]) is None
+    assert step(state, [(1, 7, 1)]) == ["k", 11, 1007]
+    unfed = FakeState((10, 1000), expired=True)
+    assert step(unfed) == ["k", 10, 1000] and not unfed.exists
 
 
 def test_idle_combiner_sums_whole_stretches(monkeypatch):
     monkeypatch.setattr(idle, "_HELD_ROWS", 5)
-    batch = pa.RecordBatch.from_pydict({"key": ["a", "a", "b"], "ticket_num": [1, 1, -1], "ticket_amt": [5, 6, -7]})
+    batch = pa.RecordBatch.from_pydict(
+        {"key": ["a", "a", "b"], "ticket_num": [1, 1, -1], "ticket_amt": [5, 6, -7], "fed": [1, 0, 1]}
+    )
     out = [row for part in idle._combine([batch] * 3) for row in part.to_pylist()]
-    assert [tuple(row.values()) for row in out] == [("a", 4, 22), ("b", -2, -14), ("a", 2, 11), ("b", -1, -7)]
+    assert [tuple(row.values()) for row in out] == [
+        ("a", 4, 22, 2), ("b", -2, -14, 2), ("a", 2, 11, 1), ("b", -1, -7, 1)
+    ]
 
 
 def test_idle_stream_forgets_a_quiet_key(spark, feed, tmp_path):
     log = str(tmp_path / "log")
     path = feed(line(ticket()))
     write = sinks.batch_tables(log, lambda batch: batch)
-    query = jobs.presale_with_timeout(file_lines(spark, path), "2019-12-01", str(tmp_path), "1 second", write, idle_ms=1500)
+    query = jobs.presale(
+        file_lines(spark, path), "2019-12-01", str(tmp_path), idle_ms=1500, every="1 second", write=write
+    )
 
     def seen() -> list[int]:
         table = spark.read.schema("ticket_num bigint, batch_id int").parquet(log)
