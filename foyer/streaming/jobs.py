@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from foyer.functions.showing import SHOWING_KEY
-from foyer.functions.text import space_tokens, tokens
+from foyer.functions.text import full_trim, space_tokens, tokens
 from foyer.operators import counts, sales, tickets
 from foyer.operators.rejects import counted, kept
 from foyer.operators.sales import BOX_OFFICE_KEY
@@ -111,8 +111,9 @@ def id_counts(
     lines: DataFrame, folder: str, every: str | None = "5 seconds",
     write: BatchWriter | None = None,
 ) -> StreamingQuery:
-    """Running counts of the ids of JSON messages."""
-    return _keyed(counts.id_counts(counts.id_messages(lines)), folder, ["id"], every, write)
+    """Running counts of the ids of JSON messages, trimmed as the word table stores them."""
+    messages = counts.id_messages(lines).withColumn("id", full_trim(F.col("id")))
+    return _keyed(counts.id_counts(messages), folder, ["id"], every, write)
 
 
 def showing_pairs(lines: DataFrame, folder: str, every: str | None = "10 seconds") -> StreamingQuery:

@@ -11,24 +11,36 @@ from pyspark.sql.streaming import StreamingQuery
 from foyer.streaming.run import BatchWriter
 
 
-def upsert_log(
-    path: str, keys: Sequence[str], fold_every: int = 100, files: int | None = None,
-) -> BatchWriter:
+_ADAPTIVE = "spark.sql.adaptive.enabled"
+
+
+def _write(rows: DataFrame, path: str, *keys: str) -> None:
+    """Write in files of even size: a small batch of many state partitions in one file, a
+    large one in many. Streams run without adaptive execution, which does this; for the
+    write, whose input is already planned, it is safe to have."""
+    conf = rows.sparkSession.conf
+    before = conf.get(_ADAPTIVE)
+    conf.set(_ADAPTIVE, "true")
+    try:
+        rows.hint("rebalance", *keys).write.mode("overwrite").parquet(path)
+    finally:
+        conf.set(_ADAPTIVE, before)
+
+
+def upsert_log(path: str, keys: Sequence[str], fold_every: int = 100) -> BatchWriter:
     """Keyed upsert: rows of a later batch replace those of an earlier one.
 
     A batch adds only its own rows, as ``batch_id=<n>``, so its cost does not grow with
     the table; a batch that is retried writes the same place again. Every ``fold_every``
     batches the current rows are also written whole, and readers start from there.
     Keep the log and the checkpoint of one stream together: they share batch numbers.
-    ``files`` gathers a batch into so many files; else it is one per state partition.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        changes = batch.repartition(files) if files else batch
-        changes.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}/part=changes")
+        _write(batch, f"{path}/batch_id={batch_id}/part=changes", *keys)
         if batch_id % fold_every == fold_every - 1:
             changes_only = (F.col("batch_id") < batch_id) | (F.col("part") == "changes")
             whole = _latest(_since_fold(_log(batch.sparkSession, path).where(changes_only)), keys)
-            whole.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}/part=whole")
+            _write(whole, f"{path}/batch_id={batch_id}/part=whole", *keys)
 
     return write
 
@@ -56,7 +68,7 @@ def _latest(log: DataFrame, keys: Sequence[str]) -> DataFrame:
 def batch_tables(path: str, step: Callable[[DataFrame], DataFrame]) -> BatchWriter:
     """Apply ``step`` to each batch on its own and write the result as ``batch_id=<n>``."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        step(batch).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        _write(step(batch), f"{path}/batch_id={batch_id}")
 
     return write
 
@@ -77,18 +89,21 @@ def upsert_statement(table: str, staging: str, columns: Sequence[str], keys: Seq
 
 
 def jdbc_upsert(
-    url: str, table: str, keys: Sequence[str], properties: dict[str, str], connections: int = 3
+    url: str, table: str, keys: Sequence[str], properties: dict[str, str],
+    columns: Sequence[str] | None = None, connections: int = 3,
 ) -> BatchWriter:
     """Keyed upsert into a database: tasks fill a staging table, one statement merges it.
 
-    At most ``connections`` tasks write at once. An error fails the batch, which the
-    stream then repeats; both steps give the same result when repeated.
+    ``columns`` are the table's names for the batch's columns, in order. At most
+    ``connections`` tasks write at once. An error fails the batch, which the stream then
+    repeats; both steps give the same result when repeated.
     """
     staging = f"{table}_staging"
 
     def write(batch: DataFrame, batch_id: int) -> None:
         options = properties | {"url": url, "dbtable": staging, "numPartitions": str(connections)}
-        batch.write.format("jdbc").options(**options).mode("overwrite").save()
+        rows = batch.toDF(*columns) if columns else batch
+        rows.write.format("jdbc").options(**options).mode("overwrite").save()
         jvm = batch.sparkSession.sparkContext._jvm
         login = jvm.java.util.Properties()
         for key, value in properties.items():
@@ -96,7 +111,7 @@ def jdbc_upsert(
         connection = jvm.java.sql.DriverManager.getConnection(url, login)
         try:
             statement = connection.createStatement()
-            statement.executeUpdate(upsert_statement(table, staging, batch.columns, keys, url))
+            statement.executeUpdate(upsert_statement(table, staging, rows.columns, keys, url))
         finally:
             connection.close()
 

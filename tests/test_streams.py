@@ -116,10 +116,23 @@ def test_upsert_log_later_wins_retry_and_fold(spark, places):
     assert re.search(r"PartitionFilters: \[isnotnull\(batch_id#\d+\), \(batch_id#\d+ >= 1\)\]", plan)
 
 
-def test_upsert_log_gathers_files(spark, places):
+def test_a_small_batch_is_one_file(spark, places):
     log, _ = places
-    sinks.upsert_log(log, ["k"], files=3)(frame(spark, *((str(i), i, "") for i in range(50))).repartition(8), 0)
-    assert len(spark.read.parquet(log).inputFiles()) == 3
+    many = frame(spark, *((str(i), i, "") for i in range(50))).repartition(8)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        sinks.upsert_log(log, ["k"])(many, 0)
+        assert spark.conf.get("spark.sql.adaptive.enabled") == "false"
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    written = spark.read.parquet(log)
+    assert len(written.inputFiles()) == 1 and written.count() == 50
+
+
+def test_ids_are_trimmed_before_they_are_counted(spark, feed, tmp_path):
+    lines = file_lines(spark, feed('{"id":" a","score":1}', '{"id":"a\\t","score":1}'))
+    run.finish(jobs.id_counts(lines, str(tmp_path), every=None))
+    assert rows(jobs.current_table(spark, str(tmp_path), ["id"])) == [("a", 2)]
 
 
 def test_upsert_statements():
