@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import json
+
 import pytest
 from conftest import line, rows, ticket
 from pyspark.sql import functions as F
@@ -79,6 +81,18 @@ def test_sale_rejects_carry_line_and_reason(lines):
     assert set(rows(rejected(found))) == expected
 
 
+def test_a_bad_ticket_leaves_the_others_of_its_line(lines):
+    items = [{"payCode": "a", "payValue": "30"}]
+    found = tickets.sale_tickets(lines(line(ticket(hallCode="7"), ticket(ticketPayInfo=items), ticket(), None)))
+    assert rows(kept(found).select("hall", "amount")) == [("7", 7000), ("8", 7000)]
+    assert [reason for _, reason in rows(rejected(found))] == ["unreadable payValue", "unreadable ticket"]
+
+
+def test_a_lone_object_counts_as_an_array_of_one(lines):
+    body = json.dumps(ticket())
+    assert rows(kept(tickets.sale_tickets(lines(f"t\u0001{body}\u0001s"))).select("amount")) == [(7000,)]
+
+
 def test_presale_rejects(lines):
     bad = {
         "unreadable movieShowStartTime": line(ticket(movieShowStartTime="2019-12-19 24:30:00")),
@@ -112,6 +126,16 @@ def test_join_totals_equals_the_joined_rows(pairs):
     assert rows(sales.self_join_totals(right, ["k"], "amount")) == rows(twin)
 
 
+def test_a_hot_key_is_summed_not_paired(spark):
+    """A third of the rows share a key: its ten thousand million pairs could not be made."""
+    hot = F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string"))
+    data = spark.range(300_000).select(hot.alias("k"), F.lit(2).cast("bigint").alias("amount"))
+    for totals in (sales.self_join_totals(data, ["k"], "amount"), sales.join_totals(data, data, ["k"], "amount")):
+        found = totals.where("k = 'hot'").first()
+        assert (int(found["pairs"]), int(found["amount"])) == (10**10, 2 * 10**10)
+        assert totals.count() == 200_001
+
+
 def test_pairs_of_a_huge_key_do_not_overflow(spark):
     row = spark.range(1).select(
         sales._times(F.lit(4 * 10**11), F.lit(4 * 10**11)).alias("pairs"),
