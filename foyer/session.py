@@ -9,6 +9,7 @@ from pyspark.sql import SparkSession
 
 _CHECKPOINT_DIR = "spark.checkpoint.dir"
 _own_folders: dict[str, tempfile.TemporaryDirectory] = {}
+_deleted_at_exit: set[str] = set()
 
 
 def local_session(cores: int | str = "*", name: str = "foyer", **settings: str) -> SparkSession:
@@ -28,17 +29,25 @@ def local_session(cores: int | str = "*", name: str = "foyer", **settings: str)
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new, empty path every executor can reach, below ``spark.checkpoint.dir``.
 
-    Where that setting is absent a local session gets a temporary folder; a cluster
+    It lies in a folder of this application, which is deleted when the application ends. Where
+    the setting is absent, a local session gets a temporary folder as its setting; a cluster
     session is refused, as its executors would not see a folder of the driver.
     """
     root = spark.conf.get(_CHECKPOINT_DIR, None)
+    context = spark.sparkContext
     if not root:
-        context = spark.sparkContext
-        if not context.master.startswith("local"):
+        if not context.master.startswith("local["):
             raise ValueError(f"set {_CHECKPOINT_DIR} to a folder all executors share")
         owner = _own_folders.setdefault(
             context.applicationId,
             tempfile.TemporaryDirectory(prefix="foyer-", ignore_cleanup_errors=True),
         )
         root = owner.name
-    return f"{root.rstrip('/')}/foyer/{name}-{uuid.uuid4().hex}"
+    mine = f"{root.rstrip('/')}/foyer-{context.applicationId}"
+    if mine not in _deleted_at_exit:
+        path = context._jvm.org.apache.hadoop.fs.Path(mine)
+        files = path.getFileSystem(context._jsc.hadoopConfiguration())
+        files.mkdirs(path)
+        files.deleteOnExit(path)
+        _deleted_at_exit.add(mine)
+    return f"{mine}/{name}-{uuid.uuid4().hex}"
