@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foyer.llm.common import documents, whole_text
+from foyer.llm import rules, secrets
+from foyer.llm.common import documents, whole_text, written
 from foyer.llm.sharding import shard_by_ring
 
 SHARDS = 40
@@ -26,5 +27,41 @@ def op1_ring_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op1_ring_sharding": op1_ring_sharding}
+def op5_divergence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Measures of every whole text, and whether the rules keep it."""
+    rows = rules.measured(documents(spark, sf_dir).select("doc_id", "text", "lang"))
+    rows = written(rows.drop("text", "lang"), "op5-measures")
+    return rules.judged(rows, rules.refined(rows)).select(
+        "doc_id", *rules.MEASURES, "base_failed", "kept"
+    )
+
+
+def op8_linked_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every whole text: the base finds, and weak ones with complements near."""
+    rows = documents(spark, sf_dir).select("doc_id", "text")
+    rows = secrets.parts(rows.withColumn("text_key", F.md5(whole_text().cast("binary"))))
+    rows = written(rows.drop("text"), "op8-parts")
+    place = "transform(strong, x -> struct(x.start as start, x.kind_no as kind_no, x.end as end))"
+    rows = rows.select("doc_id", "text_key", F.expr(place).alias("base"), "strong", "weak")
+    added = secrets.linked(rows, "text_key")
+    rows = rows.select("doc_id", "text_key", "base").join(added, "text_key", "left")
+
+    def number(kind: str) -> Column:
+        return F.size(F.filter("base", lambda x: x["kind_no"] == secrets.KINDS.index(kind))).cast("long")
+
+    return rows.select(
+        "doc_id",
+        *(number(kind).alias(f"n_{kind}") for kind in secrets.STRONG),
+        F.sha2(secrets.listed(F.col("base")), 256).alias("base_sha256"),
+        secrets.listed(F.when(F.col("added").isNull(), F.col("base")).otherwise(
+            F.concat("base", "added")
+        )).alias("spans"),
+    )
+
+
+QUERIES = {
+    "op1_ring_sharding": op1_ring_sharding,
+    "op5_divergence_rules": op5_divergence_rules,
+    "op8_linked_secrets": op8_linked_secrets,
+}
 ORACLES: dict[str, str] = {}
