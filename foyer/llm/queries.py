@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from foyer.llm import rules, secrets
 from foyer.llm.common import documents, whole_text, written
+from foyer.llm.jaccard import jaccard_groups
 from foyer.llm.sharding import shard_by_ring
 
 SHARDS = 40
@@ -59,9 +60,18 @@ def op8_linked_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the size of its set and its component by links of 0.75 or more."""
+    return jaccard_groups(documents(spark, sf_dir).select("doc_id", "text")).select(
+        F.col("key").alias("doc_id"), F.col("n_grams").alias("n_shingles"),
+        F.col("group_key").alias("component_id"),
+    )
+
+
 QUERIES = {
     "op1_ring_sharding": op1_ring_sharding,
     "op5_divergence_rules": op5_divergence_rules,
     "op8_linked_secrets": op8_linked_secrets,
+    "op9_jaccard_join": op9_jaccard_join,
 }
 ORACLES: dict[str, str] = {}
