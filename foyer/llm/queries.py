@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from foyer.llm import rules, secrets
 from foyer.llm.common import documents, whole_text, written
 from foyer.llm.jaccard import jaccard_groups
+from foyer.llm.repeats import without_repeats
 from foyer.llm.sharding import shard_by_ring
 
 SHARDS = 40
@@ -37,6 +38,21 @@ def op5_divergence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_repeated_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the bytes of 400-byte strings that also start elsewhere."""
+    rows = without_repeats(documents(spark, sf_dir).select("doc_id", "text"))
+    removed = F.aggregate(
+        "spans", F.lit(0).cast("long"), lambda done, span: done + span["end"] - span["start"]
+    )
+    return rows.select(
+        "doc_id",
+        F.octet_length(whole_text()).cast("long").alias("n_bytes"),
+        removed.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept_bytes", 256).alias("kept_sha256"),
+    )
+
+
 def op8_linked_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every whole text: the base finds, and weak ones with complements near."""
     rows = documents(spark, sf_dir).select("doc_id", "text")
@@ -71,6 +87,7 @@ def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_ring_sharding": op1_ring_sharding,
     "op5_divergence_rules": op5_divergence_rules,
+    "op7_repeated_spans": op7_repeated_spans,
     "op8_linked_secrets": op8_linked_secrets,
     "op9_jaccard_join": op9_jaccard_join,
 }
