@@ -105,3 +105,28 @@ def blocks(bounds: np.ndarray, size: int = BLOCK) -> Iterator[tuple[int, int]]:
         last = min(max(last, first + 1), n)
         yield first, last
         first = last
+
+
+class Table:
+    """Numbers of known 64-bit hashes: ``find`` gives each hash's position in ``keys``, or -1."""
+
+    def __init__(self, keys: np.ndarray):
+        self._bits = np.uint64(max(44, 63 - max(1, len(keys)).bit_length()))
+        self._order = np.argsort(keys, kind="stable")
+        self._keys = np.append(keys[self._order], np.uint64(0))
+        slots = 1 << (64 - int(self._bits))
+        self._first = np.searchsorted(keys[self._order] >> self._bits, np.arange(slots + 1, dtype=np.uint64))
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        slot = (hashes >> self._bits).astype(np.int64)
+        at, end = self._first[slot], self._first[slot + 1]
+        found = np.full(len(hashes), -1, np.int64)
+        live = np.flatnonzero(at < end)
+        at, end = at[live], end[live]
+        while len(live):
+            hit = self._keys[at] == hashes[live]
+            found[live[hit]] = self._order[at[hit]]
+            at = at + 1
+            more = ~hit & (at < end)
+            live, at, end = live[more], at[more], end[more]
+        return found

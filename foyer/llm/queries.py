@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foyer.llm import rules, secrets
-from foyer.llm.common import documents, whole_text, written
+from foyer.llm import lm, rules, secrets
+from foyer.llm.common import documents, key_hash, whole_text, written
 from foyer.llm.jaccard import jaccard_groups
 from foyer.llm.repeats import without_repeats
 from foyer.llm.sharding import shard_by_ring
@@ -38,6 +38,20 @@ def op5_divergence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_recurrent_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probabilities of every whole text; the model learns from six sevenths of the rows."""
+    rows = documents(spark, sf_dir).select("doc_id", "text")
+    held_out = key_hash("doc_id") % 7 == 2
+    text_key = F.xxhash64(whole_text())
+    model = lm.train_model(rows.where(~held_out))
+    scores = lm.score_texts(rows, model)
+    rows = rows.select("doc_id", held_out.alias("held_out"), text_key.alias("text_key"))
+    return rows.join(scores, "text_key").select(
+        "doc_id", "held_out", "n_tokens", "n_known",
+        F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score",
+    )
+
+
 def op7_repeated_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the bytes of 400-byte strings that also start elsewhere."""
     rows = without_repeats(documents(spark, sf_dir).select("doc_id", "text"))
@@ -87,6 +101,7 @@ def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_ring_sharding": op1_ring_sharding,
     "op5_divergence_rules": op5_divergence_rules,
+    "op6_recurrent_scores": op6_recurrent_scores,
     "op7_repeated_spans": op7_repeated_spans,
     "op8_linked_secrets": op8_linked_secrets,
     "op9_jaccard_join": op9_jaccard_join,
