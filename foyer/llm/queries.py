@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from foyer.llm import lm, rules, secrets
 from foyer.llm.common import documents, key_hash, whole_text, written
+from foyer.llm.decontaminate import leaks
 from foyer.llm.jaccard import jaccard_groups
 from foyer.llm.repeats import without_repeats
 from foyer.llm.sharding import shard_by_ring
@@ -29,6 +30,17 @@ def op1_ring_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the benchmark items that it holds, whole or nearly so."""
+    rows = documents(spark, sf_dir).select("doc_id", "text")
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    found = leaks(rows, items, keep=["doc_id"])
+    return found.select(
+        "doc_id", (F.size("leaks") > 0).alias("contaminated"), F.col("leaks.item").alias("item_ids"),
+        F.col("leaks.edits").alias("edits"),
+    )
+
+
 def op5_divergence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Measures of every whole text, and whether the rules keep it."""
     rows = rules.measured(documents(spark, sf_dir).select("doc_id", "text", "lang"))
@@ -100,6 +112,7 @@ def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_ring_sharding": op1_ring_sharding,
+    "op4_benchmark_leaks": op4_benchmark_leaks,
     "op5_divergence_rules": op5_divergence_rules,
     "op6_recurrent_scores": op6_recurrent_scores,
     "op7_repeated_spans": op7_repeated_spans,
