@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foyer.llm import lm, rules, secrets
-from foyer.llm.common import documents, key_hash, whole_text, written
+from foyer.llm import lm, oracle, quality, rules, secrets
+from foyer.llm.common import documents, key_hash, whole_text, words, written
 from foyer.llm.decontaminate import leaks
 from foyer.llm.jaccard import jaccard_groups
+from foyer.llm.mixing import mixed, weights_of
 from foyer.llm.repeats import without_repeats
 from foyer.llm.sharding import shard_by_ring
+from foyer.llm.tokens import token_counts
 
 SHARDS = 40
 
@@ -30,6 +32,23 @@ def op1_ring_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_unigram_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The number of unigram tokens of every whole text."""
+    return token_counts(documents(spark, sf_dir).select("doc_id", "text"), keep=["doc_id"])
+
+
+def op3_quality_discriminant(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A quality score of every whole text; two thirds of the rows may give their labels."""
+    held_out = (key_hash("doc_id") % 3 == 1).alias("held_out")
+    rows = quality.described(documents(spark, sf_dir).select("doc_id", "text"), ["doc_id"])
+    rows = written(rows.select("doc_id", held_out, *quality.STATISTICS), "op3-statistics")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
+    model = quality.fit(rows.where("not held_out").join(labels, "doc_id"), "quality")
+    return quality.scores(rows, model, ["doc_id", "held_out"]).withColumn(
+        "predicted", (F.col("score") >= 0.5).cast("int")
+    )
+
+
 def op4_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the benchmark items that it holds, whole or nearly so."""
     rows = documents(spark, sf_dir).select("doc_id", "text")
@@ -110,13 +129,44 @@ def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Target weights of domains and languages; sources weigh alike. A source's domain goes by its number.
+DOMAINS, DOMAIN_WEIGHTS = ["web", "books", "code"], {"web": 5, "books": 3, "code": 2}
+LANGUAGE_WEIGHTS = {"en": 4, "de": 3, "fr": 2, "es": 2}
+MIX_SHARE, MIX_EPOCHS, MIX_SEED = (3, 4), 2, 7
+
+
+def with_mix_levels(docs: DataFrame) -> DataFrame:
+    """The rows with their domain, a weight per level, and their number of words."""
+    number = F.expr("try_cast(regexp_extract(source, '[0-9]+', 0) as int)")
+    return docs.withColumns({
+        "domain": F.element_at(F.array(*map(F.lit, DOMAINS)), number % len(DOMAINS) + 1),
+        "n_tokens": F.size(words(whole_text())).cast("long"),
+    }).withColumns({
+        "w_domain": weights_of(F.col("domain"), DOMAIN_WEIGHTS),
+        "w_lang": weights_of(F.col("lang"), LANGUAGE_WEIGHTS),
+        "w_source": F.lit(1).cast("long"),
+    })
+
+
+def op10_source_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows that a mixture of three quarters of all words takes, with their epochs."""
+    rows = with_mix_levels(documents(spark, sf_dir).select("doc_id", "text", "lang", "source")).drop("text")
+    return mixed(
+        rows, ["domain", "lang", "source"], ["w_domain", "w_lang", "w_source"],
+        share=MIX_SHARE, max_epochs=MIX_EPOCHS, seed=MIX_SEED,
+    ).select("doc_id", "domain", "lang", "source", "epoch", "n_tokens", "taken", "mix_rank")
+
+
 QUERIES = {
     "op1_ring_sharding": op1_ring_sharding,
+    "op2_unigram_tokens": op2_unigram_tokens,
+    "op3_quality_discriminant": op3_quality_discriminant,
     "op4_benchmark_leaks": op4_benchmark_leaks,
     "op5_divergence_rules": op5_divergence_rules,
     "op6_recurrent_scores": op6_recurrent_scores,
     "op7_repeated_spans": op7_repeated_spans,
     "op8_linked_secrets": op8_linked_secrets,
     "op9_jaccard_join": op9_jaccard_join,
+    "op10_source_mixture": op10_source_mixture,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = oracle.ORACLES
