@@ -139,7 +139,8 @@ def measured(
     rows = rows.withColumn("word_counts", F.concat(F.col("word_counts"), F.array(
         F.col("n_words") - F.size(named(codes))
     )))
-    return rows.drop(whole, word, lines, hashes, again, order, at, codes)
+    # As a generated row, the measures are computed once: a filter on them is not moved into them.
+    return rows.select(*map(named, docs.columns), F.inline(F.array(F.struct(*MEASURES, *own))))
 
 
 def references(rows: DataFrame, listed: dict | None = None) -> DataFrame:
