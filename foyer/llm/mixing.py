@@ -109,10 +109,10 @@ def mixed(
     n = fresh("mix_tokens", docs)
     docs = docs.withColumn(n, F.coalesce(F.greatest(named(tokens).cast("long"), F.lit(0).cast("long")), F.lit(0)))
     leaves = docs.groupBy(*map(named, levels)).agg(
-        *(F.max(named(w)).alias(w) for w in weights), F.sum(named(n)).alias("own_tokens"),
+        *(F.max(named(w)).alias(f"weight_{i}") for i, w in enumerate(weights)), F.sum(named(n)).alias("own_tokens"),
     ).withColumn("tokens", F.col("own_tokens") * max_epochs)
     total = (leaves.agg(F.sum("own_tokens")).head()[0] or 0) * share[0] // share[1]
-    leaf = budgets(leaves, levels, weights, total).select(
+    leaf = budgets(leaves, levels, [f"weight_{i}" for i in range(len(levels))], total).select(
         *(named(c).alias(f"leaf_{i}") for i, c in enumerate(levels)), "budget",
         F.floor(F.col("tokens") / max_epochs).cast("long").alias("leaf_tokens"),
     )
