@@ -25,9 +25,16 @@ def explode_tickets(lines: DataFrame, record: str, body_field: int = 1) -> DataF
     )
 
 
-def explode_ticket_texts(lines: DataFrame, body: str = "data") -> DataFrame:
-    """One row per array element, as JSON text, in ``order``."""
-    return lines.select(F.explode(F.from_json(body, "array<string>")).alias("order"))
+def explode_ticket_texts(lines: DataFrame, body: str = "data", strict: bool = False) -> DataFrame:
+    """One row per array element, as JSON text, in ``order``.
+
+    An unreadable array gives no row; ``strict`` makes it fail the job.
+    """
+    array = F.from_json(body, "array<string>")
+    if strict:
+        failure = F.raise_error(F.concat(F.lit("rejected row: unreadable array: "), F.col(body)))
+        array = F.coalesce(array, failure.cast("array<string>"))
+    return lines.select(F.explode(array).alias("order"))
 
 
 def sale_tickets(lines: DataFrame, shows: bool = False) -> DataFrame:

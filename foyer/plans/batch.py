@@ -39,7 +39,7 @@ def _tickets(spark: SparkSession, sf_dir: str, *fields: str, **types: str) -> Da
 
 def ticket_sales_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tickets and cents per showing."""
-    return sales.sales_by_showing(kept(tickets.sale_tickets(_feed(spark, sf_dir))))
+    return sales.sales_by_showing(kept(tickets.sale_tickets(_feed(spark, sf_dir)), strict=True))
 
 
 def explode_ticket_array(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,34 +68,29 @@ def ticket_pay_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def distinct_shows_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sales.distinct_shows(kept(tickets.sale_tickets(_feed(spark, sf_dir), shows=True)))
-
-
-def _whole_pairs(totals: DataFrame) -> DataFrame:
-    # As bigint, the type of the other counts; a value that does not fit is an error.
-    return totals.select(*SHOWING_KEY, *(F.col(name).cast("bigint").alias(name) for name in ("pairs", "amount")))
+    return sales.distinct_shows(kept(tickets.sale_tickets(_feed(spark, sf_dir), shows=True), strict=True))
 
 
 def fanout_join_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pair counts of the tickets joined with themselves on the showing key, one pass."""
-    rows = kept(tickets.sale_tickets(_feed(spark, sf_dir)))
-    return _whole_pairs(sales.self_join_totals(rows, SHOWING_KEY, "amount"))
+    rows = kept(tickets.sale_tickets(_feed(spark, sf_dir)), strict=True)
+    return sales.self_join_totals(rows, SHOWING_KEY, "amount")
 
 
 def fanout_join_two_sides(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same from two inputs: ticket keys on one side, amounts on the other."""
-    rows = kept(tickets.sale_tickets(_feed(spark, sf_dir)))
-    return _whole_pairs(sales.join_totals(rows.select(*SHOWING_KEY), rows, SHOWING_KEY, "amount"))
+    rows = kept(tickets.sale_tickets(_feed(spark, sf_dir)), strict=True)
+    return sales.join_totals(rows.select(*SHOWING_KEY), rows, SHOWING_KEY, "amount")
 
 
 def presale_box_office(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sales.box_office(kept(tickets.presale_tickets(_feed(spark, sf_dir), SINCE)))
+    return sales.box_office(kept(tickets.presale_tickets(_feed(spark, sf_dir), SINCE), strict=True))
 
 
 def landed_log_distinct_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Different order texts of the landed log, then the fields that tell them apart."""
     log = landed_log(spark, inputs.landed_files(spark, sf_dir))
-    texts = tickets.explode_ticket_texts(log).distinct()
+    texts = tickets.explode_ticket_texts(log, strict=True).distinct()
     record = ticket_record(
         "ticketCode", "isRefund", "cinemaInnerCode", "hallCode", "movieShowStartTime", "movieCode", "ticketPrice"
     )

@@ -16,6 +16,7 @@ from foyer.operators.tickets import explode_ticket_texts
 from foyer.schemas import FIELD_SEPARATOR, SCHEDULE_TOPIC, SHOW_DETAILS, TICKET_TOPIC
 from foyer.session import shared_folder
 from foyer.sources.files import text_lines
+from foyer.sources.streams import file_stream
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,7 +27,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A given table as a stream. The pattern matches a single file as well as a folder."""
     schema = table(spark, sf_dir, name).schema
-    return spark.readStream.schema(schema).parquet(f"{sf_dir}/{name}.parque[t]")
+    return file_stream(spark, schema).parquet(f"{sf_dir}/{name}.parque[t]")
 
 
 def spread(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -61,7 +62,7 @@ def _ticket(mark: Column) -> Column:
             F.lit("").alias("thirdPayOrderId"), F.lit(code.upper()).alias("webPayOrders"),
         )
 
-    items = F.array(item("wzdsfhz", first), item("WeChat", f"{cents} - {first}"))
+    items = F.array(item("card", first), item("cash", f"{cents} - {first}"))
     no_items = F.slice(items, 1, 0)
     month = F.substring(F.col("l_shipdate").cast("string"), 1, 8)
     hour = F.lpad(_text("l_partkey % 4 * 6 + 5"), 2, "0")
@@ -142,15 +143,27 @@ def pipe_lines(part: DataFrame) -> DataFrame:
     return part.select(F.concat_ws("|", *parts).alias("value"))
 
 
-_landed: dict[tuple[str, str, str], str] = {}
+_landed: dict[tuple, str] = {}
 
 
-def landed(spark: SparkSession, sf_dir: str, kind: str, write: Callable[[str], None]) -> str:
-    """Folder of a derived input, written once per application and table folder.
+def _state(spark: SparkSession, sf_dir: str, name: str) -> tuple:
+    """Names, sizes and times of a table's files: what changes when the table does."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{name}.parquet")
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(path, True)
+    found = []
+    while files.hasNext():
+        file = files.next()
+        found.append((file.getPath().toString(), file.getLen(), file.getModificationTime()))
+    return tuple(sorted(found))
 
-    It is a written table on shared storage, so losing an executor loses nothing.
+
+def landed(spark: SparkSession, sf_dir: str, kind: str, name: str, write: Callable[[str], None]) -> str:
+    """Folder of an input derived from the table ``name``, written once per state of its files.
+
+    A table that has changed since gives a new copy. It is a written table on shared storage, so
+    losing an executor loses nothing; the copies go when the application ends.
     """
-    key = (spark.sparkContext.applicationId, sf_dir, kind)
+    key = (spark.sparkContext.applicationId, kind, _state(spark, sf_dir, name))
     if key not in _landed:
         path = shared_folder(spark, kind)
         write(path)
@@ -168,7 +181,7 @@ def ticket_files(spark: SparkSession, sf_dir: str) -> str:
     def write(path: str) -> None:
         _writer(ticket_lines(lineitem(spark, sf_dir))).text(path)
 
-    return landed(spark, sf_dir, "ticket-feed", write)
+    return landed(spark, sf_dir, "ticket-feed", "lineitem", write)
 
 
 def landed_files(spark: SparkSession, sf_dir: str) -> str:
@@ -177,16 +190,16 @@ def landed_files(spark: SparkSession, sf_dir: str) -> str:
         lines = landed_lines(lineitem(spark, sf_dir)).hint("rebalance", "dt")
         _writer(lines).partitionBy("dt").text(path)
 
-    return landed(spark, sf_dir, "landed-log", write)
+    return landed(spark, sf_dir, "landed-log", "lineitem", write)
 
 
 def json_files(spark: SparkSession, sf_dir: str) -> str:
     """The tickets of the feed as one JSON object per line."""
     def write(path: str) -> None:
         bodies = text_lines(spark, ticket_files(spark, sf_dir)).select(line_field(F.col("value"), 1).alias("data"))
-        _writer(explode_ticket_texts(bodies)).text(path)
+        _writer(explode_ticket_texts(bodies, strict=True)).text(path)
 
-    return landed(spark, sf_dir, "json-tickets", write)
+    return landed(spark, sf_dir, "json-tickets", "lineitem", write)
 
 
 def document_files(spark: SparkSession, sf_dir: str) -> str:
@@ -194,7 +207,7 @@ def document_files(spark: SparkSession, sf_dir: str) -> str:
     def write(path: str) -> None:
         _writer(spread(spark, sf_dir, "documents", "text")).text(path)
 
-    return landed(spark, sf_dir, "documents", write)
+    return landed(spark, sf_dir, "documents", "documents", write)
 
 
 def id_files(spark: SparkSession, sf_dir: str) -> str:
@@ -202,7 +215,7 @@ def id_files(spark: SparkSession, sf_dir: str) -> str:
     def write(path: str) -> None:
         _writer(id_lines(spread(spark, sf_dir, "events", "event_type", "user_id", "value"))).text(path)
 
-    return landed(spark, sf_dir, "id-messages", write)
+    return landed(spark, sf_dir, "id-messages", "events", write)
 
 
 def comma_files(spark: SparkSession, sf_dir: str) -> str:
@@ -210,4 +223,4 @@ def comma_files(spark: SparkSession, sf_dir: str) -> str:
     def write(path: str) -> None:
         comma_lines(spread(spark, sf_dir, "documents", "text", "lang", "source")).write.parquet(path)
 
-    return landed(spark, sf_dir, "comma-lines", write)
+    return landed(spark, sf_dir, "comma-lines", "documents", write)

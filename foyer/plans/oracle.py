@@ -46,7 +46,8 @@ _PRESALE_KEY = 'date_id, show_time, "cinemaInnerCode", "movieCode"'
 _SIGNED = "CAST(sum(sign) AS BIGINT) AS ticket_num, CAST(sum(sign * pay) AS BIGINT) AS ticket_amt"
 
 _PAIRS = f"""{_TICKETS}
-SELECT {_KEY}, count(*) * count(*) AS pairs, CAST(count(*) * sum(pay) AS BIGINT) AS amount
+SELECT {_KEY}, CAST(count(*)::HUGEINT * count(*) AS DECIMAL(38,0)) AS pairs,
+  CAST(count(*)::HUGEINT * sum(pay)::HUGEINT AS DECIMAL(38,0)) AS amount
 FROM keyed GROUP BY {_KEY}"""
 
 _RUNNING_SALES = f"""{_TICKETS}
@@ -105,7 +106,7 @@ SELECT "cinemaInnerCode", count(*) AS cnt FROM tickets GROUP BY 1""",
 SELECT "ticketCode", "isRefund", pay AS total FROM tickets""",
     "dominant_pay_mode": f"""{_TICKETS}
 SELECT "ticketCode", "isRefund",
-  CASE WHEN unpaid THEN NULL WHEN first_item >= cents - first_item THEN 'wzdsfhz' ELSE 'WeChat' END AS pay_mode
+  CASE WHEN unpaid THEN NULL WHEN first_item >= cents - first_item THEN 'card' ELSE 'cash' END AS pay_mode
 FROM tickets""",
     "business_date": """
 SELECT event_id, strftime(ts - INTERVAL 6 HOUR, '%Y-%m-%d') AS date_id, strftime(ts, '%H:%M:%S') AS show_time

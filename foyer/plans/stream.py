@@ -17,13 +17,18 @@ from foyer.plans import inputs
 from foyer.plans.batch import OPENED, SINCE
 from foyer.session import shared_folder
 from foyer.sources.files import text_lines
-from foyer.sources.streams import file_lines
+from foyer.sources.streams import file_lines, file_stream
 from foyer.streaming import jobs, run, sinks
 from foyer.streaming.idle import THIRTY_HOURS_MS
 
 Start = Callable[[str], StreamingQuery]
 
 
+def _width(spark: SparkSession) -> int:
+    """State partitions of a run that ends with its input: one per core."""
+    return spark.sparkContext.defaultParallelism
+
+
 def _table(spark: SparkSession, name: str, keys: Sequence[str], start: Start) -> DataFrame:
     """Run a keyed job to the end of its input in a new folder; its table."""
     folder = shared_folder(spark, name)
@@ -46,19 +51,19 @@ def ticket_sales_running(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Running sales per showing, the amount in whole currency units."""
     lines = _feed(spark, sf_dir)
     return _table(
-        spark, "ticket-sales", SHOWING_KEY, lambda folder: jobs.ticket_sales(lines, folder, every=None)
+        spark, "ticket-sales", SHOWING_KEY, lambda folder: jobs.ticket_sales(lines, folder, every=None, state_partitions=_width(spark))
     )
 
 
 def csv_token_running(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Running counts of comma-separated tokens, keyed as the word table stores them."""
-    lines = spark.readStream.schema("value string").parquet(inputs.comma_files(spark, sf_dir))
-    return _table(spark, "csv-tokens", ["token"], lambda folder: jobs.token_counts(lines, folder, every=None))
+    lines = file_stream(spark, "value string").parquet(inputs.comma_files(spark, sf_dir))
+    return _table(spark, "csv-tokens", ["token"], lambda folder: jobs.token_counts(lines, folder, every=None, state_partitions=_width(spark)))
 
 
 def running_id_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = inputs.id_lines(inputs.table_stream(spark, sf_dir, "events"))
-    return _table(spark, "id-counts", ["id"], lambda folder: jobs.id_counts(lines, folder, every=None))
+    return _table(spark, "id-counts", ["id"], lambda folder: jobs.id_counts(lines, folder, every=None, state_partitions=_width(spark)))
 
 
 def _presale(spark: SparkSession, sf_dir: str, name: str, idle_ms: int | None) -> DataFrame:
@@ -69,11 +74,11 @@ def _presale(spark: SparkSession, sf_dir: str, name: str, idle_ms: int | None) -
         earlier = text_lines(spark, inputs.ticket_files(spark, sf_dir)).where(sent < OPENED)
         jobs.land_balances(sales.box_office(kept(tickets.presale_tickets(earlier, SINCE))), path)
 
-    balances = jobs.balance_stream(spark, inputs.landed(spark, sf_dir, "balances", write))
+    balances = jobs.balance_stream(spark, inputs.landed(spark, sf_dir, "balances", "lineitem", write))
     lines = _feed(spark, sf_dir).where(sent >= OPENED)
     return _table(
         spark, name, BOX_OFFICE_KEY,
-        lambda folder: jobs.presale(lines, SINCE, folder, balances, idle_ms, every=None),
+        lambda folder: jobs.presale(lines, SINCE, folder, balances, idle_ms, every=None, state_partitions=_width(spark)),
     )
 
 
@@ -92,7 +97,7 @@ def tumbling_window_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = inputs.event_lines(inputs.table_stream(spark, sf_dir, "events"))
     windows = _table(
         spark, "window-counts", ["window_start", "token"],
-        lambda folder: jobs.event_window_counts(lines, "at", folder, every=None),
+        lambda folder: jobs.event_window_counts(lines, "at", folder, every=None, state_partitions=_width(spark)),
     )
     return windows.withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd HH:mm:ss"))
 
@@ -107,7 +112,7 @@ def fanout_join_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pair counts of the batch's tickets joined with themselves on the showing key."""
     lines = _feed(spark, sf_dir)
     return _batches(spark, "fanout-join", lambda folder: jobs.showing_pairs(lines, folder, every=None)).select(
-        *SHOWING_KEY, *(F.col(name).cast("bigint").alias(name) for name in ("pairs", "amount"))
+        *SHOWING_KEY, "pairs", "amount"
     )
 
 
@@ -122,7 +127,7 @@ def stream_upsert_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def start(folder: str) -> StreamingQuery:
         write = sinks.upsert_log(jobs.table_path(folder), ["id"], fold_every=2)
-        return jobs.id_counts(lines, folder, every=None, write=write)
+        return jobs.id_counts(lines, folder, every=None, state_partitions=_width(spark), write=write)
 
     return _table(spark, "upsert", ["id"], start)
 
@@ -134,7 +139,7 @@ def restart_from_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def start(every: str | None) -> StreamingQuery:
         lines = file_lines(spark, path, files_per_batch=_quarter_of_files(spark, path))
-        return jobs.ticket_sales(lines, folder, every)
+        return jobs.ticket_sales(lines, folder, every, state_partitions=_width(spark))
 
     run.stop_after_batches(start("0 seconds"), 1)
     run.finish(start(None))

@@ -9,7 +9,6 @@ from pyspark.sql import SparkSession
 
 _CHECKPOINT_DIR = "spark.checkpoint.dir"
 _own_folders: dict[str, tempfile.TemporaryDirectory] = {}
-_deleted_at_exit: set[str] = set()
 
 
 def local_session(cores: int | str = "*", name: str = "foyer", **settings: str) -> SparkSession:
@@ -26,12 +25,19 @@ def local_session(cores: int | str = "*", name: str = "foyer", **settings: str)
     return builder.getOrCreate()
 
 
+def _delete_at_exit(spark: SparkSession, folder: str) -> None:
+    """Have the folder deleted when the driver's JVM ends."""
+    if hasattr(spark, "_jvm"):
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+
+
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new, empty path every executor can reach, below ``spark.checkpoint.dir``.
 
-    It lies in a folder of this application, which is deleted when the application ends. Where
-    the setting is absent, a local session gets a temporary folder as its setting; a cluster
-    session is refused, as its executors would not see a folder of the driver.
+    It is deleted when the application ends. Where the setting is absent, a local session gets a
+    temporary folder; a cluster session is refused, as its executors would not see a folder of
+    the driver.
     """
     root = spark.conf.get(_CHECKPOINT_DIR, None)
     context = spark.sparkContext
@@ -43,11 +49,6 @@ def shared_folder(spark: SparkSession, name: str) -> str:
             tempfile.TemporaryDirectory(prefix="foyer-", ignore_cleanup_errors=True),
         )
         root = owner.name
-    mine = f"{root.rstrip('/')}/foyer-{context.applicationId}"
-    if mine not in _deleted_at_exit:
-        path = context._jvm.org.apache.hadoop.fs.Path(mine)
-        files = path.getFileSystem(context._jsc.hadoopConfiguration())
-        files.mkdirs(path)
-        files.deleteOnExit(path)
-        _deleted_at_exit.add(mine)
-    return f"{mine}/{name}-{uuid.uuid4().hex}"
+    folder = f"{root.rstrip('/')}/foyer/{name}-{uuid.uuid4().hex}"
+    _delete_at_exit(spark, folder)
+    return folder

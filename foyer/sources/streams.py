@@ -6,6 +6,11 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamReader
+from pyspark.sql.types import StructType
+
+#: Older than any file: no file is left out for its age.
+ANY_AGE = "36500d"
 
 # Keys of the properties file.
 CONSUMER_PREFIX = "kafka.newConsumer."
@@ -51,9 +56,20 @@ def socket_lines(spark: SparkSession, host: str, port: int) -> DataFrame:
     return spark.readStream.format("socket").options(host=host, port=port).load()
 
 
-def file_lines(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
-    """Lines of the text files that arrive in a folder, in ``value``."""
-    reader = spark.readStream.schema("value string")
-    if files_per_batch is not None:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.text(path)
+def file_stream(
+    spark: SparkSession, schema: str | StructType, files_per_batch: int | None = None, max_age: str = ANY_AGE
+) -> DataStreamReader:
+    """A reader of files that arrive in a folder.
+
+    ``max_age``: files that are older than the newest one by more than this are never read; by
+    default none is, so files with old dates, as copies from an archive have, are not lost.
+    """
+    reader = spark.readStream.schema(schema).option("maxFileAge", max_age)
+    return reader if files_per_batch is None else reader.option("maxFilesPerTrigger", files_per_batch)
+
+
+def file_lines(
+    spark: SparkSession, path: str, files_per_batch: int | None = None, max_age: str = ANY_AGE
+) -> DataFrame:
+    """Lines of the text files that arrive in a folder, in ``value``; see ``file_stream``."""
+    return file_stream(spark, "value string", files_per_batch, max_age).text(path)

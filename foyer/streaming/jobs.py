@@ -19,6 +19,7 @@ from foyer.functions.text import full_trim, space_tokens, tokens
 from foyer.operators import counts, sales, tickets
 from foyer.operators.rejects import counted, kept
 from foyer.operators.sales import BOX_OFFICE_KEY
+from foyer.sources.streams import file_stream
 from foyer.streaming import idle, run, sinks
 from foyer.streaming.run import BatchWriter
 from foyer.streaming.tables import sales_table, trimmed_tokens
@@ -47,7 +48,9 @@ def _keyed(
     rows: DataFrame, folder: str, keys: Sequence[str], every: str | None,
     write: BatchWriter | None, **how,
 ) -> StreamingQuery:
-    write = write or sinks.upsert_log(table_path(folder), keys)
+    if write is None:
+        sinks.declare(rows, table_path(folder))
+        write = sinks.upsert_log(table_path(folder), keys)
     return run.start(rows, write, f"{folder}/checkpoint", every, **how)
 
 
@@ -66,10 +69,11 @@ def _good(rows: DataFrame) -> DataFrame:
 def ticket_sales(
     lines: DataFrame, folder: str, every: str | None = "10 seconds",
     write: BatchWriter | None = None,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Running tickets and amount per showing, in whole currency units."""
     good = _good(tickets.sale_tickets(lines))
-    return _keyed(sales_table(sales.sales_by_showing(good)), folder, SHOWING_KEY, every, write)
+    return _keyed(sales_table(sales.sales_by_showing(good)), folder, SHOWING_KEY, every, write, state_partitions=state_partitions)
 
 
 def land_balances(table: DataFrame, path: str) -> None:
@@ -80,40 +84,43 @@ def land_balances(table: DataFrame, path: str) -> None:
 
 def balance_stream(spark: SparkSession, path: str) -> DataFrame:
     """Opening balances as a stream: all of them arrive in the first batch."""
-    return spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
+    return file_stream(spark, spark.read.parquet(path).schema).parquet(path)
 
 
 def presale(
     lines: DataFrame, since: str, folder: str, balances: DataFrame | None = None,
     idle_ms: int | None = idle.THIRTY_HOURS_MS, every: str | None = "5 seconds",
     write: BatchWriter | None = None,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Running presale box office on opening balances, forgetting a key after ``idle_ms``
     without tickets. With ``None`` no key is forgotten, and no step runs in Python."""
     arriving = _good(tickets.presale_tickets(lines, since))
     if idle_ms is None:
-        return _keyed(sales.seeded_box_office(arriving, balances), folder, BOX_OFFICE_KEY, every, write)
+        return _keyed(sales.seeded_box_office(arriving, balances), folder, BOX_OFFICE_KEY, every, write, state_partitions=state_partitions)
     rows = idle.idle_box_office(arriving, balances, idle_ms)
-    return _keyed(rows, folder, BOX_OFFICE_KEY, every, write, idle_batches=every is not None)
+    return _keyed(rows, folder, BOX_OFFICE_KEY, every, write, idle_batches=every is not None, state_partitions=state_partitions)
 
 
 def token_counts(
     lines: DataFrame, folder: str, every: str | None = "10 seconds",
     write: BatchWriter | None = None, split: Tokens = comma_tokens,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Running counts of tokens, trimmed as the word table stores them."""
     words = trimmed_tokens(counts.token_rows(lines, split))
     running = words.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
-    return _keyed(running, folder, ["token"], every, write)
+    return _keyed(running, folder, ["token"], every, write, state_partitions=state_partitions)
 
 
 def id_counts(
     lines: DataFrame, folder: str, every: str | None = "5 seconds",
     write: BatchWriter | None = None,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Running counts of the ids of JSON messages, trimmed as the word table stores them."""
     messages = counts.id_messages(lines).withColumn("id", full_trim(F.col("id")))
-    return _keyed(counts.id_counts(messages), folder, ["id"], every, write)
+    return _keyed(counts.id_counts(messages), folder, ["id"], every, write, state_partitions=state_partitions)
 
 
 def showing_pairs(lines: DataFrame, folder: str, every: str | None = "10 seconds") -> StreamingQuery:
@@ -144,10 +151,11 @@ def window_token_counts(
 def event_window_counts(
     lines: DataFrame, at: str, folder: str, every: str | None = "1 second",
     width: str = "5 seconds", split: Tokens = space_tokens,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Counts of tokens per window of the time column ``at``.
 
     Give ``lines`` a watermark to bound the state; rows later than it are then left out.
     """
     windows = counts.window_counts(lines, split, at, width)
-    return _keyed(windows, folder, ["window_start", "token"], every, None)
+    return _keyed(windows, folder, ["window_start", "token"], every, None, state_partitions=state_partitions)

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable, Iterator
-from contextlib import contextmanager
+from contextlib import contextmanager, suppress
+from threading import Thread
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -21,11 +22,11 @@ def stream_settings(
     """Session settings a stream copies when it starts; the session's own return after.
 
     State lives in RocksDB, off the heap, with change logs as checkpoints. Its partition
-    count is fixed for the life of a checkpoint: by default one per core of the cluster.
+    count is fixed for the life of a checkpoint, so it is an argument of every job, by default
+    the session's shuffle partitions; how many executors happen to be there does not count.
     """
-    partitions = state_partitions or spark.sparkContext.defaultParallelism
     wanted = {
-        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.shuffle.partitions": str(state_partitions or spark.conf.get("spark.sql.shuffle.partitions")),
         "spark.sql.streaming.stateStore.providerClass": _ROCKSDB,
         "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
         "spark.sql.streaming.noDataMicroBatches.enabled": str(idle_batches).lower(),
@@ -63,24 +64,48 @@ def start(
         return writer.start()
 
 
-def finish(query: StreamingQuery, limit: float = 3600) -> None:
-    """Wait for an ``availableNow`` stream to end; raise its failure, or on the time limit."""
+def finish(query: StreamingQuery, limit: float | None = None) -> None:
+    """Wait for an ``availableNow`` stream to end, however long; raise its failure.
+
+    ``limit``, in seconds, is for tests: beyond it the stream is stopped with an error.
+    """
     try:
-        if not query.awaitTermination(limit):
+        if limit is None:
+            query.awaitTermination()
+        elif not query.awaitTermination(limit):
             raise TimeoutError(f"stream still running after {limit} s")
     finally:
         query.stop()
 
 
 def drain(query: StreamingQuery) -> None:
-    """Graceful stop: handle all data that has arrived, then stop."""
-    query.processAllAvailable()
+    """Graceful stop: handle the data that has arrived, then stop, though more keep arriving.
+
+    The batch that runs now and the one after it hold all that was there; what comes later is
+    read after a restart on the same checkpoint.
+    """
+    def last() -> int:
+        return query.lastProgress["batchId"] if query.lastProgress else -1
+
+    caught_up = Thread(target=_caught_up, args=(query,), daemon=True)
+    before = last()
+    caught_up.start()
+    while query.isActive and caught_up.is_alive() and last() < before + 2:
+        time.sleep(0.05)
     query.stop()
+    if query.exception() is not None:
+        raise query.exception()
+
+
+def _caught_up(query: StreamingQuery) -> None:
+    # Ends with an error when the query is stopped first; drain() looks at the query itself.
+    with suppress(Exception):
+        query.processAllAvailable()
 
 
-def stop_after_batches(query: StreamingQuery, batches: int, limit: float = 600) -> None:
+def stop_after_batches(query: StreamingQuery, batches: int, limit: float | None = None) -> None:
     """Stop a stream once it has completed ``batches`` batches since it started."""
-    deadline = time.monotonic() + limit
+    deadline = float("inf") if limit is None else time.monotonic() + limit
     try:
         while query.isActive and len(query.recentProgress) < batches:
             if time.monotonic() > deadline:

@@ -30,9 +30,10 @@ def _write(rows: DataFrame, path: str, *keys: str) -> None:
 def upsert_log(path: str, keys: Sequence[str], fold_every: int = 100) -> BatchWriter:
     """Keyed upsert: rows of a later batch replace those of an earlier one.
 
-    A batch adds only its own rows, as ``batch_id=<n>``, so its cost does not grow with
-    the table; a batch that is retried writes the same place again. Every ``fold_every``
-    batches the current rows are also written whole, and readers start from there.
+    A batch adds only its own rows, as ``batch_id=<n>``; a batch that is retried writes the
+    same place again. Every ``fold_every`` batches the current rows are also written whole,
+    readers start from there, and batches before the last whole copy but one are deleted: at
+    most about twice ``fold_every`` folders are there to be listed.
     Keep the log and the checkpoint of one stream together: they share batch numbers.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -41,10 +42,28 @@ def upsert_log(path: str, keys: Sequence[str], fold_every: int = 100) -> BatchWr
             changes_only = (F.col("batch_id") < batch_id) | (F.col("part") == "changes")
             whole = _latest(_since_fold(_log(batch.sparkSession, path).where(changes_only)), keys)
             _write(whole, f"{path}/batch_id={batch_id}/part=whole", *keys)
+            # Readers may still be at the copy before this one; what is older goes.
+            _forget(batch.sparkSession, path, batch_id - fold_every)
 
     return write
 
 
+def declare(rows: DataFrame, path: str) -> None:
+    """Give a log the columns of ``rows``, so that it can be read before its first batch."""
+    empty = rows.sparkSession.createDataFrame([], rows.schema)
+    empty.write.mode("overwrite").parquet(f"{path}/batch_id=-1/part=changes")
+
+
+def _forget(spark: SparkSession, path: str, before: int) -> None:
+    """Delete the batches before a whole copy, once there is a later one."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in files.listStatus(root):
+        name = status.getPath().getName()
+        if name.startswith("batch_id=") and int(name[9:]) < before:
+            files.delete(status.getPath(), True)
+
+
 def upserted(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
     """The current rows of an upsert log."""
     return _latest(_since_fold(_log(spark, path)), keys)

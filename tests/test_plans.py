@@ -6,7 +6,7 @@ import re
 
 import pytest
 
-from foyer.operators import tickets
+from foyer.operators import sales, tickets
 from foyer.operators.rejects import kept
 from foyer.plans import batch, inputs
 from foyer.plans.batch import QUERIES
@@ -72,3 +72,18 @@ def test_join_of_large_sides_reuses_their_partitioning(spark, sf_dir):
 
 def test_one_pass_for_joined_twins(spark, sf_dir):
     assert plan(batch.fanout_join_sales(spark, sf_dir)).count("FileScan") == 1
+
+
+def test_feed_follows_its_table(spark, sf_dir, tmp_path):
+    rows = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    path = str(tmp_path / "lineitem.parquet")
+    rows.limit(100).write.parquet(path)
+    before = batch.QUERIES["explode_ticket_array"](spark, str(tmp_path)).count()
+    rows.limit(1000).write.mode("append").parquet(path)
+    assert batch.QUERIES["explode_ticket_array"](spark, str(tmp_path)).count() > 5 * before
+
+
+def test_pair_totals_beyond_a_bigint(spark):
+    hot = spark.range(4_000_000).selectExpr("'a' as k", "3000000000L as amount")
+    pairs = sales.self_join_totals(hot, ["k"], "amount").first()
+    assert int(pairs["pairs"]) == 16 * 10**12 and int(pairs["amount"]) == 4_000_000**2 * 3 * 10**9 > 2**63

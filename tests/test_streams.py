@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import os
 import re
 import time
 
@@ -301,3 +302,40 @@ def test_event_windows(spark, lines):
     stamped = lines("a b", "a").select(F.lit("2024-01-01 00:00:07").cast("timestamp_ntz").alias("at"), "value")
     found = counts.window_counts(stamped, lambda value: tokens(value, " "), "at")
     assert rows(found.select(F.date_format("window_start", "HH:mm:ss"), "token", "n")) == [("00:00:05", "a", 2), ("00:00:05", "b", 1)]
+
+
+def test_files_with_old_dates_are_read(spark, feed, places):
+    log, checkpoint = places
+    path = feed("a")
+    old = time.time() - 30 * 86400
+    os.utime(f"{path}/000.txt", (old, old))
+    feed("b")
+    run.finish(run.start(words(file_lines(spark, path)), sinks.upsert_log(log, ["token"]), checkpoint), 120)
+    assert rows(sinks.upserted(spark, log, ["token"])) == [("a", 1), ("b", 1)]
+
+
+def test_table_of_a_job_without_input(spark, tmp_path):
+    (tmp_path / "feed").mkdir()
+    folder = str(tmp_path / "job")
+    run.finish(jobs.token_counts(file_lines(spark, str(tmp_path / "feed")), folder, every=None, state_partitions=1), 120)
+    table = jobs.current_table(spark, folder, ["token"])
+    assert table.columns == ["token", "n"] and table.count() == 0
+
+
+def test_a_long_upsert_log_stays_short(spark, tmp_path):
+    path = tmp_path / "log"
+    write = sinks.upsert_log(str(path), ["k"], fold_every=3)
+    for batch in range(20):
+        write(spark.createDataFrame([(batch % 4, batch)], "k int, n int"), batch)
+        assert len(list(path.glob("batch_id=*"))) <= 7
+    assert rows(sinks.upserted(spark, str(path), ["k"])) == [(0, 16), (1, 17), (2, 18), (3, 19)]
+
+
+def test_drain_ends_while_data_keep_arriving(spark, tmp_path):
+    lines = spark.readStream.format("rate").option("rowsPerSecond", 1000).load()
+    query = run.start(
+        lines.select(F.col("value")), sinks.batch_tables(str(tmp_path / "t"), lambda batch: batch),
+        str(tmp_path / "c"), "0 seconds", state_partitions=1,
+    )
+    run.drain(query)
+    assert not query.isActive
