@@ -6,8 +6,9 @@ step moving on by a bit that hashes the step and the word; strings at a small ed
 at a small Hamming distance. A table keys such a walk by a few sampled places; windows that share a
 key with an item in any of the tables are compared with it exactly, by words.
 
-Before the walk a bound drops windows that cannot match: each word that no item has costs an edit.
-Items of similar length share their windows. The items are sent to all tasks in slices of bounded
+Before the walk two bounds drop windows that cannot match: each word that no item has costs an edit,
+and an edit breaks at most two of an item's pairs of neighbours, so enough pairs must be there that
+some item has. Items of similar length share their windows. The items are sent to all tasks in slices of bounded
 size; each slice is one pass over the texts, and nothing is shuffled.
 """
 
@@ -29,6 +30,8 @@ EDITS, MIN_WORDS = 0.25, 8
 WALKS, TABLES, PLACES = 12, 6, 3
 #: Item lengths that share windows: up to so many times the least.
 STRETCH = 1.15
+#: Windows of a group that are walked together.
+HELD_WINDOWS = 20_000
 #: Bytes of item text sent to the tasks in one pass.
 SLICE_BYTES = 16 << 20
 
@@ -73,6 +76,7 @@ class Items:
         self.sizes = np.array([len(r) for r in rows])
         self.least, self.most = int(self.sizes.min()), int(self.sizes.max())
         self.edits = allowed(self.sizes, edits)
+        self.least_pairs = int((self.sizes - 1 - 2 * self.edits).min())
         self.words = np.full((len(rows), self.most), -1, np.int64)
         for i, row in enumerate(rows):
             self.words[i, : len(row)] = row
@@ -137,10 +141,18 @@ def distances(items: np.ndarray, sizes: np.ndarray, rows: np.ndarray) -> tuple[n
     return final[np.arange(n), end], end
 
 
+def _pairs(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Hashes of neighbouring word numbers."""
+    return bytewords.mix((left.astype(np.uint64) << np.uint64(32)) + right.astype(np.uint64))
+
+
 def _grouped(hashes: list[np.ndarray], numbers: list[int], edits: float, seed: int):
-    """The word table of the items, and the items by length."""
+    """The tables of the items' words and pairs of words, and the items by length."""
     vocabulary = np.unique(np.concatenate(hashes)) if hashes else np.zeros(0, np.uint64)
     table = bytewords.Table(vocabulary)
+    numbered = [table.find(own) for own in hashes]
+    pairs = [_pairs(own[:-1], own[1:]) for own in numbered]
+    pairs = bytewords.Table(np.unique(np.concatenate(pairs)) if pairs else np.zeros(0, np.uint64))
     by_size = sorted(zip(map(len, hashes), numbers, hashes, strict=True), key=lambda x: (x[0], x[1]))
     groups, held = [], []
     for size, number, own in by_size:
@@ -150,40 +162,78 @@ def _grouped(hashes: list[np.ndarray], numbers: list[int], edits: float, seed: i
         held.append((number, table.find(own)))
     if held:
         groups.append(held)
-    return table, [Items([x[0] for x in g], [x[1] for x in g], edits, seed) for g in groups]
+    return table, pairs, [Items([x[0] for x in g], [x[1] for x in g], edits, seed) for g in groups]
 
 
-def find(ids: np.ndarray, bounds: np.ndarray, groups: list[Items], seed: int) -> list[tuple]:
-    """Matches in texts of word numbers (-1: no item has it): (text, item, edits, first word, end)."""
-    unknown = np.append(0, np.cumsum(ids < 0))
-    start = np.arange(len(ids))
+def live_windows(ids: np.ndarray, bounds: np.ndarray, pairs: bytewords.Table, groups: list[Items]):
+    """Per group, the windows that the bounds leave: text number, first word, the words of the window.
+
+    ``ids`` are word numbers, -1 for words that no item has.
+    """
+    every = np.arange(len(ids))
     ends = np.repeat(bounds[1:], np.diff(bounds))
-    padded = np.append(ids, -1)
-    found = []
+    unknown = np.append(0, np.cumsum(ids < 0))
+    both = np.flatnonzero((ids[:-1] >= 0) & (ids[1:] >= 0) & (every[1:] < ends[:-1]))
+    # Pairs that some item has, by the place of their first word.
+    known = np.zeros(len(ids) + 1, np.int64)
+    known[both + 1] = pairs.find(_pairs(ids[both], ids[both + 1])) >= 0
+    known = np.cumsum(known)
+    padded = np.append(ids, -1).astype(np.int32)
     for group in groups:
         most = int(group.edits.max())
-        here = np.minimum(ends - start, group.least)
-        short = group.least - here
-        lost = unknown[start + here] - unknown[start] + short
-        live = np.flatnonzero(lost <= most)
         width = group.most + most
-        for low in range(0, len(live), 4096):
-            begin = live[low : low + 4096]
-            places = begin[:, None] + np.arange(width)
-            rows = padded[np.minimum(places, len(ids))]
-            rows[places >= ends[begin][:, None]] = -1
-            row, item = group.candidates(rows, seed)
-            for cut in range(0, len(row), 8192):
-                r, i = row[cut : cut + 8192], item[cut : cut + 8192]
-                edits, length = distances(group.words[i], group.sizes[i], rows[r])
-                good = edits <= group.edits[i]
-                text = np.searchsorted(bounds, begin[r[good]], "right") - 1
-                at = begin[r[good]] - bounds[text]
-                found += zip(
-                    text.tolist(), group.numbers[i[good]].tolist(), edits[good].tolist(), at.tolist(),
-                    (at + length[good]).tolist(), strict=True,
-                )
-    return found
+        last = np.minimum(ends, every + width) - 1
+        start = every[known[last] - known[:-1] >= group.least_pairs]
+        here = np.minimum(ends[start] - start, group.least)
+        lost = unknown[start + here] - unknown[start] + group.least - here
+        start = start[lost <= most]
+        places = start[:, None] + np.arange(width)
+        rows = padded[np.minimum(places, len(ids))]
+        rows[places >= ends[start][:, None]] = -1
+        text = np.searchsorted(bounds, start, "right") - 1
+        yield text, start - bounds[text], rows
+
+
+class Search:
+    """Matches of items in texts; windows are gathered and compared many at a time."""
+
+    def __init__(self, table, pairs, groups: list[Items], seed: int):
+        self.table, self.pairs, self.groups, self.seed = table, pairs, groups, seed
+        self.held: list[list[tuple]] = [[] for _ in groups]
+        self.found: list[tuple] = []
+
+    def add(self, hashes: np.ndarray, bounds: np.ndarray, first: int) -> None:
+        """Texts by their word hashes; ``first`` is the number of the first one."""
+        if len(hashes):
+            found = live_windows(self.table.find(hashes), bounds, self.pairs, self.groups)
+            for number, (text, at, rows) in enumerate(found):
+                self.held[number].append((text + first, at, rows))
+                if sum(len(x[0]) for x in self.held[number]) >= HELD_WINDOWS:
+                    self._compare(number)
+
+    def matches(self) -> list[tuple]:
+        """All matches so far: (text, item, edits, first word, end)."""
+        for number in range(len(self.groups)):
+            self._compare(number)
+        found, self.found = self.found, []
+        return found
+
+    def _compare(self, number: int) -> None:
+        if not self.held[number]:
+            return
+        group = self.groups[number]
+        text, at, rows = (np.concatenate(x) for x in zip(*self.held[number], strict=True))
+        self.held[number] = []
+        row, item = group.candidates(rows, self.seed) if len(rows) else (text[:0], text[:0])
+        for cut in range(0, len(row), 8192):
+            r, i = row[cut : cut + 8192], item[cut : cut + 8192]
+            edits, length = distances(group.words[i], group.sizes[i], rows[r])
+            good = edits <= group.edits[i]
+            r, i = r[good], i[good]
+            self.found += zip(
+                text[r].tolist(), group.numbers[i].tolist(), edits[good].tolist(), at[r].tolist(),
+                (at[r] + length[good]).tolist(), strict=True,
+            )
 
 
 def leaks(
@@ -229,16 +279,17 @@ def _searched(rows: DataFrame, inside: str, column: str, names: list, grouped, s
     text_at, leaks_at = rows.columns.index(inside), rows.columns.index(column)
 
     def scan(batches):
-        names, table, groups = shared.value
+        names, *rest = shared.value
+        search = Search(*rest, seed)
         kind = pa.list_(pa.struct([
             ("item", pa.int64()), ("edits", pa.int32()), ("first", pa.int32()), ("end", pa.int32()),
         ]))
         for batch in batches:
             best: dict[tuple[int, int], tuple] = {}
             for first, _, own, at in _words(*bytewords.text_bytes(batch.column(text_at))):
-                for text, number, *match in find(table.find(own), at, groups, seed):
-                    key = (text + first, number)
-                    best[key] = min(best.get(key, tuple(match)), tuple(match))
+                search.add(own, at, first)
+            for text, number, *match in search.matches():
+                best[text, number] = min(best.get((text, number), tuple(match)), tuple(match))
             old = batch.column(leaks_at)
             if best:
                 lists = old.to_pylist()
