@@ -77,10 +77,10 @@ def windows(ids: np.ndarray, bounds: np.ndarray, n: int, steps: int, begin: int)
 
 
 def _sigmoid(x):
-    np.negative(x, out=x)
-    np.exp(x, out=x)
+    x *= np.float32(0.5)
+    np.tanh(x, out=x)
     x += 1
-    np.reciprocal(x, out=x)
+    x *= np.float32(0.5)
     return x
 
 
@@ -105,9 +105,19 @@ def run(p, source, starts, state):
     return out, kept
 
 
-def _log_softmax(x):
+def _log_softmax(x, at, gradient: bool):
+    """Log probability at one output per row; with ``gradient``, its gradient in the outputs."""
     x -= x.max(1, keepdims=True)
-    return x - np.log(np.exp(x).sum(1, keepdims=True))
+    rows = np.arange(len(x))
+    chosen = x[rows, at]
+    np.exp(x, out=x)
+    total = x.sum(1)
+    logs = chosen - np.log(total)
+    if not gradient:
+        return logs, None
+    x *= (-1 / total)[:, None]
+    x[rows, at] += 1
+    return logs, x
 
 
 def outputs(p, states, target, gradient: bool):
@@ -118,13 +128,10 @@ def outputs(p, states, target, gradient: bool):
     size = p["words"].shape[2]
     last = p["classes"].shape[1] - 1
     of_class = np.minimum(target // size, last)
-    score = _log_softmax(states @ p["classes"] + p["class_bias"])
-    at = np.arange(len(target))
-    logs = score[at, of_class].astype(np.float64)
+    logs, d = _log_softmax(states @ p["classes"] + p["class_bias"], of_class, gradient)
+    logs = logs.astype(np.float64)
     grads, back = {}, None
     if gradient:
-        d = -np.exp(score)
-        d[at, of_class] += 1
         grads["classes"], grads["class_bias"] = states.T @ d, d.sum(0)
         back = d @ p["classes"].T
         grads["words"], grads["word_bias"] = np.zeros_like(p["words"]), np.zeros_like(p["word_bias"])
@@ -135,13 +142,9 @@ def outputs(p, states, target, gradient: bool):
         if not len(rows):
             continue
         mine = states[rows]
-        score = _log_softmax(mine @ p["words"][c] + p["word_bias"][c])
-        within = target[rows] - c * size
-        own = np.arange(len(rows))
-        logs[rows] += score[own, within]
+        own, d = _log_softmax(mine @ p["words"][c] + p["word_bias"][c], target[rows] - c * size, gradient)
+        logs[rows] += own
         if gradient:
-            d = -np.exp(score)
-            d[own, within] += 1
             grads["words"][c], grads["word_bias"][c] = mine.T @ d, d.sum(0)
             back[rows] += d @ p["words"][c].T
     return logs, grads, back
