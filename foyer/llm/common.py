@@ -53,3 +53,18 @@ def written(frame: DataFrame, name: str) -> DataFrame:
     path = shared_folder(spark, name)
     frame.write.parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
+
+
+def most_frequent(counts: DataFrame, key: str, n: str, most: int) -> DataFrame:
+    """The rows of ``counts`` above the least count, in steps of an eighth of its binary logarithm,
+    that at most ``most`` rows reach. One number per step reaches the driver.
+    """
+    step = F.floor(8 * F.log2(named(n).cast("double"))).cast("int")
+    sizes = sorted(counts.groupBy(step.alias("step")).count().collect(), reverse=True)
+    least, total = None, 0
+    for at, rows in sizes:
+        total += rows
+        if total > most:
+            break
+        least = at
+    return counts.select(key, n).where(F.lit(False) if least is None else step >= least)

@@ -23,12 +23,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foyer.llm import bytewords, gru
-from foyer.llm.common import fresh, named, whole_text, written
+from foyer.llm.common import fresh, most_frequent, named, whole_text, written
 
 VOCABULARY = 1024
 #: Frequent words whose counts are sent to all tasks, at most.
 TABLE = 1 << 18
 LANES, STEPS, WINDOWS, CHUNK = 256, 32, 128, 1 << 20
+#: Tokens, about, that each copy of a round trains on at least.
+COPY_TOKENS = 1 << 18
 #: Shares of the training text, in sixteenths, and rates of the rounds.
 ROUNDS = [(1, 0.03), (1, 0.03), (2, 0.02), (4, 0.01), (8, 0.005)]
 GROUPS = 32
@@ -85,18 +87,8 @@ def _counts(texts: DataFrame) -> DataFrame:
 
 
 def _frequent(counts: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
-    """Words above the least count that at most ``most`` words reach, by falling count."""
-    bucket = F.floor(8 * F.log2(F.col("n").cast("double"))).cast("int")
-    sizes = sorted(counts.groupBy(bucket.alias("b")).count().collect(), reverse=True)
-    least, total = None, 0
-    for b, n in sizes:
-        total += n
-        if total > most:
-            break
-        least = b
-    if least is None:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    found = counts.where(bucket >= least).toPandas()
+    """At most ``most`` of the most frequent words, by falling count."""
+    found = most_frequent(counts, "word", "n", most).toPandas()
     words, n = found["word"].to_numpy(np.int64).view(np.uint64), found["n"].to_numpy(np.int64)
     order = np.lexsort((words, -n))
     return words[order], n[order]
@@ -193,7 +185,8 @@ def train_model(docs: DataFrame, text: str = "text") -> Model:
     share, low = F.pmod(F.xxhash64("text", F.lit("round")), F.lit(16)), 0
     for sixteenths, rate in ROUNDS:
         part = texts.where((share >= low) & (share < low + sixteenths))
-        p = _round(part, p, words, rate)
+        copies = max(1, (tokens or 0) * sixteenths // 16 // COPY_TOKENS)
+        p = _round(part.coalesce(copies), p, words, rate)
         low += sixteenths
     return Model(p, words, n, counts, tokens or 0, distinct)
 
