@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from foyer.llm.common import fresh, named
+from foyer.llm.common import fresh, named, written
 
 WIDE = "decimal(38,0)"
 
@@ -111,6 +111,7 @@ def mixed(
     leaves = docs.groupBy(*map(named, levels)).agg(
         *(F.max(named(w)).alias(f"weight_{i}") for i, w in enumerate(weights)), F.sum(named(n)).alias("own_tokens"),
     ).withColumn("tokens", F.col("own_tokens") * max_epochs)
+    leaves = written(leaves, "mix-leaves")
     total = (leaves.agg(F.sum("own_tokens")).head()[0] or 0) * share[0] // share[1]
     leaf = budgets(leaves, levels, [f"weight_{i}" for i in range(len(levels))], total).select(
         *(named(c).alias(f"leaf_{i}") for i, c in enumerate(levels)), "budget",

@@ -152,7 +152,7 @@ def op10_source_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rows that a mixture of three quarters of all words takes, with their epochs."""
     rows = with_mix_levels(documents(spark, sf_dir).select("doc_id", "text", "lang", "source")).drop("text")
     return mixed(
-        rows, ["domain", "lang", "source"], ["w_domain", "w_lang", "w_source"],
+        written(rows, "op10-rows"), ["domain", "lang", "source"], ["w_domain", "w_lang", "w_source"],
         share=MIX_SHARE, max_epochs=MIX_EPOCHS, seed=MIX_SEED,
     ).select("doc_id", "domain", "lang", "source", "epoch", "n_tokens", "taken", "mix_rank")
 
