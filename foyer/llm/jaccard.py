@@ -5,12 +5,14 @@ can start an overlap large enough to matter: with the n-grams in one global orde
 link share one among the first n - ceil(t n) + 1 of the longer and the first n - ceil(2t/(1+t) n) + 1
 of the shorter. These entries are dealt into blocks by n-gram; a block multiplies its columns and
 discards the pairs whose sizes or places bound the overlap below what a link needs. The pairs
-left are counted exactly, set against set.
+left are compared by sketches, which bound how many n-grams they can share, and then counted
+exactly, set against set.
 
 Skew. The order puts very frequent n-grams last, so only documents that consist of little else have
 them in their part. A column with many rows makes no pair of all of them: each is counted
-against the column's first row, the links found are merged, and then only pairs across different
-components, within the same bounds, are counted. Copies combine before the shuffle.
+against the column's first row, then those outside the column's largest component against a row
+inside; the links found are merged each time, and at last only pairs across different components,
+within the same bounds, are counted. Copies combine before the shuffle.
 
 A set is known by a 64-bit hash and so is an n-gram.
 """
@@ -25,19 +27,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from foyer.llm import bytewords
-from foyer.llm.common import fresh, named, whole_text, written
+from foyer.llm.common import fresh, most_frequent, named, whole_text, written
 from foyer.llm.components import components
 
 N, PERCENT = 5, 75
 #: N-grams moved to the end of the order, at most; and when one counts as frequent.
-FREQUENT, FREQUENT_IN_TASK, TASK_GRAMS = 100_000, 8, 1 << 22
+FREQUENT, FREQUENT_IN_TASK, TASK_GRAMS = 1_000_000, 3, 1 << 22
 #: Columns with more rows than this are linked by their first row before pairs are made.
 SMALL_COLUMN = 3
+#: Rounds in which rows of long columns are drawn into the largest component, before all pairs are made.
+TURNS = 3
 #: Rows counted against one set in one go.
 GROUP_ROWS = 500
 #: Rows of a side that may be sent to all tasks; beyond it the join shuffles.
 BROADCAST_ROWS = 2_000_000
 
+#: Bits of a set's parity sketch.
+SKETCH = 4096
+
 _ORDER = bytewords.mix(np.arange(101, 101 + 64, dtype=np.uint64))
 
 
@@ -70,8 +77,17 @@ def set_hash(own: np.ndarray) -> int:
     return int(bytewords.mix(bytewords.mix(both[:1]) + both[1:]).view(np.int64)[0])
 
 
+def sketch(own: np.ndarray) -> bytes:
+    """Parities of the n-grams per bit: bits that differ are at most the n-grams that differ."""
+    bits = np.bincount((own & np.uint64(SKETCH - 1)).astype(np.int64), minlength=SKETCH)
+    return np.packbits((bits & 1).astype(np.uint8)).tobytes()
+
+
 def _sets(docs: DataFrame, key: str, text: str, n: int) -> DataFrame:
-    """The key column, ``node`` and ``n_grams`` of each row, and counts of grams frequent in a task."""
+    """Key, ``node``, ``n_grams`` of each row, a sketch where a task first meets a node; and counts
+
+    of n-grams frequent in a task.
+    """
     kind = docs.schema[key].dataType.simpleString()
 
     def scan(batches):
@@ -86,13 +102,15 @@ def _sets(docs: DataFrame, key: str, text: str, n: int) -> DataFrame:
 
         for batch in batches:
             raw, bounds = bytewords.text_bytes(batch.column(1))
-            nodes, sizes = [], []
+            nodes, sizes, sketches = [], [], []
             for _, own in gram_sets(raw, bounds, n):
                 node = set_hash(own) if len(own) else None
                 nodes.append(node)
                 sizes.append(len(own))
+                sketches.append(None)
                 if node is not None and node not in seen:
                     seen.add(node)
+                    sketches[-1] = sketch(own)
                     grams.append(own)
                     held += len(own)
                 if held >= TASK_GRAMS:
@@ -100,12 +118,15 @@ def _sets(docs: DataFrame, key: str, text: str, n: int) -> DataFrame:
                     grams, held = [], 0
             yield _batch(
                 key=batch.column(0), text_key=batch.column(2), node=pa.array(nodes, pa.int64()),
-                n_grams=pa.array(sizes, pa.int64()),
+                n_grams=pa.array(sizes, pa.int64()), sketch=pa.array(sketches, pa.binary()),
             )
         yield from frequent()
 
-    names = {"key": kind, "text_key": "long", "node": "long", "n_grams": "long", "gram": "long", "count": "long"}
-    types: dict[str, pa.DataType] = {}
+    names = {
+        "key": kind, "text_key": "long", "node": "long", "n_grams": "long", "sketch": "binary",
+        "gram": "long", "count": "long",
+    }
+    types: dict[str, pa.DataType] = {"sketch": pa.binary()}
 
     def _batch(**columns):
         n_rows = len(next(iter(columns.values())))
@@ -143,14 +164,16 @@ def _pair_needed(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
 
 def _entries(docs: DataFrame, text: str, n: int, percent: int, frequent: DataFrame) -> DataFrame:
     """The part of each distinct set that can start an overlap: (gram, node, size, place)."""
-    last = frequent.orderBy("count", "gram").toPandas()["gram"].to_numpy(np.int64)
+    found = frequent.toPandas()
+    last, times = found["gram"].to_numpy(np.int64), found["count"].to_numpy(np.int64)
+    last = last[np.lexsort((last, times))]
     order = np.argsort(last.view(np.uint64))
     shared = docs.sparkSession.sparkContext.broadcast((last.view(np.uint64)[order], order))
 
     def scan(batches):
         hot, rank = shared.value
-        low = np.zeros(1 << 20, bool)
-        low[(hot & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
+        low = np.zeros(1 << 23, bool)
+        low[(hot & np.uint64((1 << 23) - 1)).astype(np.int64)] = True
         seen = set()
         for batch in batches:
             raw, bounds = bytewords.text_bytes(batch.column(0))
@@ -161,7 +184,7 @@ def _entries(docs: DataFrame, text: str, n: int, percent: int, frequent: DataFra
                 seen.add(node)
                 size = len(own)
                 take = size - int(_needed(np.int64(size), percent)) + 1
-                maybe = np.flatnonzero(low[(own & np.uint64((1 << 20) - 1)).astype(np.int64)])
+                maybe = np.flatnonzero(low[(own & np.uint64((1 << 23) - 1)).astype(np.int64)])
                 if len(maybe):
                     at = np.minimum(np.searchsorted(hot, own[maybe]), len(hot) - 1)
                     is_hot = hot[at] == own[maybe]
@@ -219,11 +242,7 @@ def _product(percent: int):
         pairs.append((first[a], a))
         a, b = (np.concatenate(side) for side in zip(*pairs, strict=True))
         good = _bounded(a, b, size, place, percent)
-        # A star's arms need only sizes that fit: what matters is to merge what is alike.
-        star = (count[a] > SMALL_COLUMN) & (
-            100 * np.minimum(size[a], size[b]) >= percent * np.maximum(size[a], size[b])
-        )
-        a, b = a[good | star], b[good | star]
+        a, b = a[good], b[good]
         found = np.unique(np.stack([node[a], node[b]], 1), axis=0)
         yield _rows(np.zeros(len(found), np.int64), found[:, 0], found[:, 1], None, None)
         yield _rows(gram[long], node[long], None, size[long], place[long])
@@ -238,6 +257,35 @@ def _product(percent: int):
     return multiply
 
 
+def _toward(percent: int, turn: int):
+    """For each row of a long column outside the column's largest component, one within it."""
+
+    def link(batches):
+        held = [batch for batch in batches if batch.num_rows]
+        if not held:
+            return
+        table = pa.Table.from_batches(held)
+        gram, node, size, place, root = (table.column(i).to_numpy() for i in range(5))
+        order = np.lexsort((node, root, gram))
+        gram, node, size, place, root = (x[order] for x in (gram, node, size, place, root))
+        run = np.flatnonzero(np.append(True, (gram[1:] != gram[:-1]) | (root[1:] != root[:-1])))
+        length = np.diff(np.append(run, len(gram)))
+        by_length = np.lexsort((length, gram[run]))
+        last = np.append(gram[run][by_length][1:] != gram[run][by_length][:-1], True)
+        largest = by_length[last]  # One run per column, by rising n-gram.
+        column = np.searchsorted(gram[run][largest], gram)
+        begin, n = run[largest][column], length[largest][column]
+        outside = np.flatnonzero(root != root[begin])
+        drawn = bytewords.mix((node ^ gram)[outside].view(np.uint64) + np.uint64(turn))
+        inside = begin[outside] + (drawn % n[outside].astype(np.uint64)).astype(np.int64)
+        good = _bounded(outside, inside, size, place, percent)
+        found = np.stack([node[outside[good]], node[inside[good]]], 1)
+        found = np.unique(np.sort(found, axis=1), axis=0)
+        yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], ["u", "v"])
+
+    return link
+
+
 def _across(percent: int):
     """Pairs of long columns whose rows lie in different components, within the bounds."""
 
@@ -276,25 +324,22 @@ def _across(percent: int):
     return multiply
 
 
-def _counted(percent: int):
-    """Sets in rows (u, part, own, node, grams), sorted: the first of a part against the others."""
+def _against(percent: int, links):
+    """Rows (u, part, own, node, n_grams, data), sorted: the first of a part against its others."""
 
     def count(batches):
         now, leader = None, None
         for batch in batches:
-            u, part, own, node = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(4))
-            grams = batch.column(4)
+            u, part, own, node, size = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(5))
+            data = batch.column(5)
             found = []
             for i in range(batch.num_rows):
-                mine = np.frombuffer(grams[i].as_buffer(), np.uint64)
+                mine = np.frombuffer(data[i].as_buffer(), np.uint64)
                 if (u[i], part[i]) != now:
                     now, leader = (u[i], part[i]), None
                 if own[i] == 0:
-                    leader = np.array(mine)
-                    continue
-                at = np.minimum(np.searchsorted(leader, mine), len(leader) - 1)
-                overlap = int((leader[at] == mine).sum())
-                if 100 * overlap >= percent * (len(leader) + len(mine) - overlap):
+                    leader, leader_size = np.array(mine), size[i]
+                elif links(leader, mine, int(leader_size), int(size[i]), percent):
                     found.append((u[i], node[i]))
             if found:
                 yield pa.RecordBatch.from_arrays(
@@ -305,52 +350,78 @@ def _counted(percent: int):
     return count
 
 
-def _among(rows: DataFrame, wanted: DataFrame, column: str) -> DataFrame:
-    """Rows whose column is in ``wanted``: by broadcast if it is small enough, else by shuffle."""
-    few = wanted.count() <= BROADCAST_ROWS
-    return rows.join(F.broadcast(wanted) if few else wanted, column, "left_semi")
+def _sets_link(a: np.ndarray, b: np.ndarray, n_a: int, n_b: int, percent: int) -> bool:
+    at = np.minimum(np.searchsorted(a, b), n_a - 1)
+    overlap = int((a[at] == b).sum())
+    return 100 * overlap >= percent * (n_a + n_b - overlap)
+
+
+def _sketches_may(a: np.ndarray, b: np.ndarray, n_a: int, n_b: int, percent: int) -> bool:
+    """False only if the sets differ in more n-grams than two that link can."""
+    least = -(-percent * (n_a + n_b) // (100 + percent))
+    return int(np.bitwise_count(a ^ b).sum()) <= n_a + n_b - 2 * least
+
+
+def _few(frame: DataFrame) -> DataFrame:
+    """The frame, marked for broadcast if it has few rows; else its join shuffles."""
+    return F.broadcast(frame) if frame.count() <= BROADCAST_ROWS else frame
+
+
+def _places(pairs: DataFrame) -> DataFrame:
+    """Where a node's data has to go so that it meets those it is paired with: (u, part, own, node).
+
+    All pairs of a ``u`` lie together, in parts of about ``GROUP_ROWS``, each with u itself.
+    """
+    parts = pairs.groupBy("u").agg(F.ceil(F.count("*") / GROUP_ROWS).cast("int").alias("parts"))
+    arms = pairs.join(parts, "u").select(
+        "u", F.pmod(F.hash("v"), F.col("parts")).alias("part"), F.lit(1).alias("own"), F.col("v").alias("node")
+    )
+    heads = parts.select(
+        "u", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("own"),
+        F.col("u").alias("node"),
+    )
+    return written(arms.union(heads), "jaccard-places")
+
+
+def _compared(data: DataFrame, places: DataFrame, percent: int, links) -> DataFrame:
+    """Pairs (u, v) of the places that pass, from rows (node, n_grams, data)."""
+    together = data.join(_few(places), "node").select("u", "part", "own", "node", "n_grams", "data")
+    return together.repartition("u", "part").sortWithinPartitions("u", "part", "own").mapInArrow(
+        _against(percent, links), "u long, v long"
+    ).distinct()
 
 
 def _verified(docs: DataFrame, rows: DataFrame, pairs: DataFrame, text: str, n: int, percent: int) -> DataFrame:
-    """The pairs (u, v) that link, counted exactly."""
+    """The pairs (u, v) that link: those whose sketches allow it, counted exactly."""
     pairs = written(pairs.select("u", "v").distinct(), "jaccard-pairs")
+    sketches = rows.where("sketch is not null").select("node", "n_grams", F.col("sketch").alias("data"))
+    pairs = written(_compared(sketches, _places(pairs), percent, _sketches_may), "jaccard-pairs")
     nodes = pairs.select(F.col("u").alias("node")).union(pairs.select(F.col("v").alias("node"))).distinct()
-    keys = written(
-        rows.join(nodes, "node", "left_semi").groupBy("node").agg(F.min("text_key").alias("text_key"))
-        .select("text_key"), "jaccard-keys",
+    keys = rows.join(_few(written(nodes, "jaccard-nodes")), "node", "left_semi").groupBy("node").agg(
+        F.min("text_key").alias("text_key")
     )
+    keys = written(keys.select("text_key"), "jaccard-keys")
 
     def sets(batches):
         seen = set()
         for batch in batches:
             raw, bounds = bytewords.text_bytes(batch.column(0))
-            nodes, grams = [], []
+            nodes, sizes, grams = [], [], []
             for _, own in gram_sets(raw, bounds, n):
                 if len(own) and (node := set_hash(own)) not in seen:
                     seen.add(node)
                     nodes.append(node)
+                    sizes.append(len(own))
                     grams.append(own.tobytes())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(nodes, pa.int64()), pa.array(grams, pa.binary())], ["node", "grams"]
+                [pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()), pa.array(grams, pa.binary())],
+                ["node", "n_grams", "data"],
             )
 
     texts = docs.select(whole_text(text).alias("text")).withColumn("text_key", F.xxhash64("text"))
-    texts = _among(texts, keys, "text_key").select("text")
-    held = written(
-        texts.mapInArrow(sets, "node long, grams binary").dropDuplicates(["node"]), "jaccard-sets"
-    )
-    parts = pairs.groupBy("u").agg(F.ceil(F.count("*") / GROUP_ROWS).cast("int").alias("parts"))
-    arms = pairs.join(parts, "u").select(
-        "u", F.pmod(F.hash("v"), F.col("parts")).alias("part"), F.lit(1).alias("own"), F.col("v").alias("node")
-    )
-    heads = parts.select(
-        "u", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("own"),
-        F.col("u").alias("node"),
-    )
-    together = arms.union(heads).join(held, "node").select("u", "part", "own", "node", "grams")
-    return together.repartition("u", "part").sortWithinPartitions("u", "part", "own").mapInArrow(
-        _counted(percent), "u long, v long"
-    )
+    texts = texts.join(_few(keys), "text_key", "left_semi").select("text")
+    held = texts.mapInArrow(sets, "node long, n_grams long, data binary")
+    return _compared(held, _places(pairs), percent, _sets_link)
 
 
 def jaccard_groups(
@@ -367,10 +438,8 @@ def jaccard_groups(
     """
     scanned = written(_sets(docs, key, text, n), "jaccard-scan")
     rows = scanned.where("gram is null").drop("gram", "count")
-    frequent = (
-        scanned.where("gram is not null").groupBy("gram").agg(F.sum("count").alias("count"))
-        .orderBy(F.desc("count"), "gram").limit(FREQUENT)
-    )
+    counts = scanned.where("gram is not null").groupBy("gram").agg(F.sum("count").alias("count"))
+    frequent = most_frequent(written(counts, "jaccard-counts"), "gram", "count", FREQUENT)
     entries = _entries(docs, text, n, percent, frequent)
     blocks = written(
         entries.repartition("gram").mapInArrow(
@@ -381,16 +450,25 @@ def jaccard_groups(
     links = written(
         _verified(docs, rows, blocks.where("v is not null"), text, n, percent), "jaccard-links"
     )
-    # Long columns: drop those within one component, then count the pairs across.
+    # Long columns: draw rows into the largest component as long as that merges any, then all across.
     long = blocks.where("v is null").select("gram", F.col("u").alias("node"), "size", "place")
     roots = components(links)
-    long = long.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    split = long.groupBy("gram").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a <> b")
-    long = long.join(split.select("gram"), "gram", "left_semi").select("gram", "node", "size", "place", "root")
-    more = long.repartition("gram").mapInArrow(_across(percent), "u long, v long")
-    more = written(_verified(docs, rows, more, text, n, percent), "jaccard-links")
-    if more.head(1):
-        roots = components(links.union(more))
+    turn = 0
+    while True:
+        last = turn == TURNS
+        now = long.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        split = now.groupBy("gram").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a <> b")
+        now = now.join(split.select("gram"), "gram", "left_semi").select("gram", "node", "size", "place", "root")
+        work = _across(percent) if last else _toward(percent, turn)
+        more = now.repartition("gram").mapInArrow(work, "u long, v long")
+        more = written(_verified(docs, rows, more, text, n, percent), "jaccard-links")
+        merged = bool(more.head(1))
+        if merged:
+            links = written(links.union(more), "jaccard-links")
+            roots = components(links)
+        if last:
+            break
+        turn = turn + 1 if merged else TURNS
     roots = written(roots, "jaccard-roots")
     rows = rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = rows.where("root is not null").groupBy("root").agg(F.min("key").alias("group_key"))
@@ -399,3 +477,27 @@ def jaccard_groups(
         .withColumn("group_key", F.when(F.col("root").isNull(), F.col("key")).otherwise(F.col("group_key")))
         .select("key", "text_key", "n_grams", "node", "root", "group_key")
     )
+
+
+def one_per_group(
+    docs: DataFrame, *, key: str = "doc_id", text: str = "text", n: int = N, percent: int = PERCENT
+) -> DataFrame:
+    """The rows without near copies: of each group of linked texts, the row of the least key stays.
+
+    Null keys come last, equal ones go by their texts' hash, and of rows that repeat both one stays.
+    Rows without words are linked with nothing, so all of them stay.
+    """
+    row = fresh("jaccard_row", docs)
+
+    def identity(key_column, text_key):
+        return F.xxhash64(key_column.isNull(), key_column, text_key)
+
+    groups = jaccard_groups(docs, key=key, text=text, n=n, percent=percent)
+    first = groups.where("root is not null").groupBy("root").agg(
+        F.min(F.struct(F.col("key").isNull().alias("none"), "key", "text_key")).alias("first")
+    )
+    chosen = first.select(identity(F.col("first.key"), F.col("first.text_key")).alias(row))
+    some = whole_text(text).rlike("[^\x20\x09-\x0D]")
+    rows = docs.where(some).withColumn(row, identity(named(key), F.xxhash64(whole_text(text))))
+    rows = rows.join(chosen, row, "left_semi").dropDuplicates([row]).drop(row)
+    return rows.select(*map(named, docs.columns)).union(docs.where(~some))
