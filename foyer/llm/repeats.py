@@ -8,6 +8,10 @@ array and permuted common prefixes show which of its strings start twice. Segmen
 twice as a whole are repeated throughout and need not be compared again. Each start in a document
 lies in one segment, so a string never meets itself.
 
+A gram whose different segments are longer together than a shard (a short passage in many
+surroundings) is not put into one array: its strings are counted by gram and 64-bit hash of the whole
+string, each of which is a key of its own, so the gram is dealt over all tasks.
+
 Only grams, segment hashes and places are shuffled, then each different segment of a repeated gram
 once: copies combine before they move, and a gram with one segment, however frequent, moves none.
 """
@@ -25,12 +29,16 @@ from foyer.llm import bytewords, suffixes
 from foyer.llm.common import fresh, named, whole_text, written
 
 LENGTH, GRAM = 400, 200
-#: Bytes of text in one suffix array, unless a single gram's segments are longer together.
+#: Bytes of text at which a suffix array closes; a gram with more is dealt by its strings. So an array has
+#: at most twice as many.
 SHARD = 1 << 21
+#: Strings that occur more often than this share of all are sent to all tasks: there are at most so many.
+FREQUENT_STRINGS = 1 << 16
 #: Bytes of a side that may be sent to all tasks; beyond it the join shuffles.
 BROADCAST_BYTES = 16 << 20
 _PLACE_BITS = np.uint64(28)
 _PIECE = 1 << 23
+_HELD_STRINGS = 1 << 18
 
 
 def segments(data: np.ndarray, bounds: np.ndarray, length: int = LENGTH, gram: int = GRAM):
@@ -127,6 +135,37 @@ def _cut(length: int):
     return cut
 
 
+def _strings(length: int):
+    """The hash of each string of wanted segments, from rows (text, wanted)."""
+
+    def scan(batches):
+        for batch in batches:
+            raw, bounds = bytewords.text_bytes(batch.column(0))
+            wanted = batch.column(1)
+            at = wanted.offsets.to_numpy()
+            low, starts, gram, segment = (wanted.values.field(i).to_numpy() for i in range(4))
+            held, size = [], 0
+            for i in range(batch.num_rows):
+                for j in range(at[i], at[i + 1]):
+                    begin = bounds[i] + low[j]
+                    own = np.arange(starts[j])
+                    hashes = bytewords.Prefix(raw[begin : begin + starts[j] - 1 + length]).hashes(own, own + length)
+                    held.append((np.full(len(own), gram[j]), np.full(len(own), segment[j]), own.astype(np.int32), hashes.view(np.int64)))
+                    size += len(own)
+                    if size >= _HELD_STRINGS:
+                        yield done(held)
+                        held, size = [], 0
+            if held:
+                yield done(held)
+
+    def done(held):
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.concatenate(x)) for x in zip(*held, strict=True)], ["gram", "segment", "at", "string"]
+        )
+
+    return scan
+
+
 def _repeated_starts(parts: list[np.ndarray], starts: np.ndarray, length: int) -> list[np.ndarray]:
     """For each part, which of its first starts begin a string that starts twice in the shard."""
     sizes = np.array([len(p) + 1 for p in parts])
@@ -208,6 +247,34 @@ def _small(frame: DataFrame, size: Column) -> DataFrame:
     return F.broadcast(frame) if few else frame
 
 
+def _runs_by_string(long: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
+    """Repeated runs of starts of wanted segments, without bringing a gram's segments together.
+
+    A text that several rows share counts its strings once per row, which is right: they repeat.
+    """
+    keys = ["gram", "string"]
+    strings = written(
+        long.join(_small(wanted, 40 + 32 * F.size("wanted")), "text_key").select("text", "wanted")
+        .mapInArrow(_strings(length), "gram long, segment long, at int, string long"),
+        "repeats-strings",
+    )
+    repeated = written(strings.groupBy(*keys).agg(F.count("*").alias("times")).where("times > 1"), "repeats-strings-twice")
+    total = repeated.agg(F.sum("times")).head()[0] or 0
+    often = F.col("times") > total // FREQUENT_STRINGS
+    # What is frequent never meets in one task; of the rest no key has more than a small share of the rows.
+    frequent = F.broadcast(repeated.where(often).select(*keys, F.lit(True).alias("often")))
+    marked = strings.join(frequent, keys, "left")
+    rest = _small(repeated.where(~often).select(*keys), F.lit(16))
+    twice = marked.where("often").select("gram", "segment", "at").union(
+        marked.where("often is null").join(rest, keys).select("gram", "segment", "at")
+    )
+    ats = twice.groupBy("gram", "segment").agg(F.sort_array(F.collect_set("at")).alias("ats"))
+    begins = F.filter("ats", lambda x, i: (i == 0) | (F.get("ats", i - 1) < x - 1))
+    ends = F.filter("ats", lambda x, i: (i == F.size("ats") - 1) | (F.get("ats", i + 1) > x + 1))
+    runs = F.zip_with(begins, ends, lambda a, b: F.struct(a.alias("at"), (b - a + 1).alias("n")))
+    return ats.select("gram", "segment", runs.alias("runs"))
+
+
 def repeated_spans(
     docs: DataFrame, *, text: str = "text", length: int = LENGTH, gram: int = GRAM
 ) -> DataFrame:
@@ -233,14 +300,19 @@ def repeated_spans(
         ),
         "repeats-kinds",
     )
-    grams = kinds.groupBy("gram").agg(F.count("*").alias("kinds"))
+    grams = kinds.groupBy("gram").agg(
+        F.count("*").alias("kinds"), F.sum(F.col("one.starts") + F.lit(length - 1)).alias("bytes")
+    )
     grams = kinds.join(grams, "gram").where("kinds > 1 or times > 1")
-    wanted = written(
+    # Segments whose gram fits a shard, and those whose gram does not, by the text to cut them from.
+    chosen = written(
         grams.where("kinds > 1").select(
-            "one.text_key", F.struct("one.low", "one.starts", "gram", "segment").alias("want")
-        ).groupBy("text_key").agg(F.collect_list("want").alias("wanted")),
+            "one.text_key", (F.col("bytes") > SHARD).alias("hot"),
+            F.struct("one.low", "one.starts", "gram", "segment").alias("want"),
+        ).groupBy("text_key", "hot").agg(F.collect_list("want").alias("wanted")),
         "repeats-wanted",
     )
+    wanted, hot = (chosen.where(of).select("text_key", "wanted") for of in ("not hot", "hot"))
     sent = _small(wanted, 40 + 32 * F.size("wanted"))
     parts = long.join(sent, "text_key").select("text", "wanted").mapInArrow(
         _cut(length), "gram long, segment long, starts int, bytes binary"
@@ -249,6 +321,8 @@ def repeated_spans(
         parts.repartition("gram").dropDuplicates(["gram", "segment"]).sortWithinPartitions("gram")
         .mapInArrow(_shards(length), "gram long, segment long, runs array<struct<at:int,n:int>>")
     )
+    if not hot.isEmpty():
+        runs = runs.union(_runs_by_string(long, hot, length))
     # What is known of each segment: repeated as a whole, or these runs of its starts.
     whole = F.array(F.struct(F.lit(0).alias("at"), F.col("one.starts").alias("n")))
     known = written(

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from foyer.llm import gru, lm, quality, rules, secrets, suffixes
+from foyer.llm import gru, lm, quality, repeats, rules, secrets, suffixes
 from foyer.llm.components import components
 from foyer.llm.decontaminate import distances, leaks
 from foyer.llm.jaccard import jaccard_groups, one_per_group
@@ -178,6 +179,50 @@ def test_repeat_cases(odd, none):
     assert without_repeats(none).count() == 0
 
 
+def test_repeats_around_a_short_common_passage(docs, monkeypatch):
+    """A passage below the length in many surroundings: its segments are more than one array may hold."""
+    rng = random.Random(21)
+
+    def noise(n):
+        return "".join(rng.choices("abcdefghijklmnop ", k=n))
+
+    passage, wider, copied = noise(380), [noise(30), noise(30)], noise(450)
+    texts = [noise(210) + passage + noise(210) for _ in range(6000)]
+    texts += [noise(250) + wider[0] + passage + wider[1] + noise(250) for _ in range(3)]  # 440 bytes shared.
+    texts += [noise(200) + copied + noise(200) for _ in range(5)]
+    seen, real = [], repeats._shards
+
+    def watched(length):
+        work, most = real(length), 1 << 21
+
+        def bounded(batches):
+            def counted():
+                sizes: dict[int, int] = {}
+                for batch in batches:
+                    for gram, data in zip(batch.column(0).to_pylist(), batch.column(3).to_pylist(), strict=True):
+                        sizes[gram] = sizes.get(gram, 0) + len(data)
+                    assert max(sizes.values()) <= most, "one gram's segments in one array"
+                    yield batch
+
+            yield from work(counted())
+
+        seen.append(length)
+        return bounded
+
+    monkeypatch.setattr(repeats, "_shards", watched)
+    found = without_repeats(docs(*enumerate(texts))).select("doc_id", "spans").collect()
+    assert seen
+    spans = {r.doc_id: [tuple(s) for s in r.spans] for r in found}
+    times = Counter(hash(t[k : k + 400]) for t in texts for k in range(len(t) - 399))
+    for i, t in enumerate(texts):
+        want: list[tuple[int, int]] = []
+        for k in range(len(t) - 399):
+            if times[hash(t[k : k + 400])] > 1:
+                want = [*want[:-1], (want[-1][0], k + 400)] if want and k <= want[-1][1] else [*want, (k, k + 400)]
+        assert spans[i] == want
+    assert sum(map(bool, spans.values())) == 8
+
+
 def test_suffix_arrays():
     rng = random.Random(3)
     for _ in range(150):
