@@ -1,10 +1,14 @@
 """Quality rules by distribution divergence, in DataFrame functions alone.
 
 A document's histogram of character classes and its histogram of common words are compared with
-those of its language by the Jensen-Shannon distance. A language's reference is measured on all
-given documents of that language, then anew on those that it keeps, so that junk leaves it: a few
-aggregates of histograms into a table of one row per listed language. Short documents have rough histograms: below the minimum lengths a distance gives no
-verdict. Two plain rules go first: too few words, and too many words in repeated windows.
+those of its language by the Jensen-Shannon distance. A language is a value of the language column,
+listed or not; only listed ones have common words. Rows without one are told apart by their script
+alone. A reference is the mean histogram of the documents that pass the base rules, each weighing
+alike, then anew of those that it keeps, so that junk leaves it: a few aggregates into a table of one
+row per language. Where fewer than ``MIN_REFERENCE`` documents are kept the last reference stays, and
+a language that never had so many gives no verdict. Short documents have rough histograms: below
+the minimum lengths a distance gives no verdict either. Two plain rules go first: too few words, and
+too many words in repeated windows.
 
 Everything about a text is computed within its own row; no text or word is shuffled. Windows of
 eight words are hashed by doubling (pairs, fours, eights), so the work is linear in the words.
@@ -15,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from foyer.llm.common import SPACE, fresh, named, whole_text, words
+from foyer.llm.common import SPACE, fresh, named, whole_text, words, written
 
 WINDOW = 8
 MIN_WORDS, MAX_REPEATED_PERCENT = 20, 30
@@ -24,6 +28,14 @@ MIN_CHARS_FOR_CLASSES, MIN_WORDS_FOR_WORDS = 200, 50
 MAX_CLASS_DISTANCE, MAX_WORD_DISTANCE = 0.16, 0.30
 #: Times the reference is measured anew on the rows that the last one keeps.
 REFINEMENTS = 2
+#: Documents that a reference needs at least.
+MIN_REFERENCE = 20
+#: A document's share of a histogram counts in whole steps of this part, so that sums have no order.
+_STEPS = 1_000_000
+#: Languages whose references may be sent to all tasks; beyond it the join shuffles.
+BROADCAST_ROWS = 50_000
+#: In place of a language that is not given: mostly a-z, or mostly other letters.
+NO_LANGUAGE = ("?a-z", "?other letters")
 
 #: Common words of the languages that get a reference of their own.
 COMMON_WORDS = {
@@ -63,7 +75,7 @@ def measured(
 ) -> DataFrame:
     """The rows with their measures and histograms; see ``judged`` for their use.
 
-    Adds the five measures, ``n_text_chars``, ``language`` (empty where it has no word list),
+    Adds the five measures, ``n_text_chars``, ``language`` (one of ``NO_LANGUAGE`` where null or empty),
     ``class_counts`` and ``word_counts``. Columns of these names are replaced. A null text counts
     as empty; its measures are 0.
     """
@@ -75,7 +87,7 @@ def measured(
         for name in ("text", "words", "lines", "hashes", "again", "order", "at", "codes")
     )
     size = F.size(named(word))
-    language = F.coalesce(F.when(named(lang).isin(*listed), named(lang)), F.lit(""))
+    language = F.coalesce(named(lang).cast("string"), F.lit(""))
     in_order = F.lit("")
     for name, list_words in listed.items():
         in_order = F.when(F.col("language") == name, F.lit(",".join(list_words))).otherwise(in_order)
@@ -120,7 +132,11 @@ def measured(
         "class_counts": F.array(*(_in_class(named(whole), m).cast("long") for m in CLASSES.values())),
         "n_text_chars": F.length(named(whole)).cast("long"),
     })
+    lower, other = (F.col("class_counts")[list(CLASSES).index(c)] for c in ("lower", "letter"))
     rows = rows.withColumns({
+        "language": F.when(F.col("language") != "", F.col("language")).otherwise(
+            F.when(other > lower, NO_LANGUAGE[1]).otherwise(NO_LANGUAGE[0])
+        ),
         "n_words": size.cast("long"),
         "word_chars": F.col("n_text_chars") - F.col("class_counts")[list(CLASSES).index("space")],
         "n_symbols": F.col("class_counts")[list(CLASSES).index("symbol")],
@@ -143,18 +159,26 @@ def measured(
     return rows.select(*map(named, docs.columns), F.inline(F.array(F.struct(*MEASURES, *own))))
 
 
-def references(rows: DataFrame, listed: dict | None = None) -> DataFrame:
-    """Counts per language over all measured rows: at most one row per listed language, and one."""
+def _base_failed() -> Column:
+    return (F.col("n_words") < MIN_WORDS) | (
+        100 * F.col("n_repeat_words") > MAX_REPEATED_PERCENT * F.col("n_words")
+    )
+
+
+def references(rows: DataFrame, listed: dict | None = None, least: int = MIN_REFERENCE) -> DataFrame:
+    """Mean histograms per language over measured rows, for languages with ``least`` rows or more."""
     listed = COMMON_WORDS if listed is None else listed
     n_classes, n_words = len(CLASSES) + 1, max(map(len, listed.values()), default=0) + 1
 
     def total(column: str, n: int) -> Column:
-        return F.array(*(F.sum(F.col(column)[i]) for i in range(n)))
+        share = _STEPS / _total(F.col(column))
+        return F.array(*(F.sum(F.round(F.col(column)[i] * share).cast("long")) for i in range(n)))
 
     return rows.groupBy("language").agg(
+        F.count("*").alias("documents"),
         total("class_counts", n_classes).alias("class_reference"),
         total("word_counts", n_words).alias("word_reference"),
-    )
+    ).where(F.col("documents") >= least).drop("documents")
 
 
 def _total(counts: Column) -> Column:
@@ -182,33 +206,45 @@ def judged(
     """Measured rows with ``base_failed``, ``kept`` and both distances.
 
     A row is kept if the base rules pass and each distance is within its limit or gives no
-    verdict: texts under the minimum lengths have none, nor have words of an unlisted language.
+    verdict: texts under the minimum lengths have none, nor has a language without a reference, nor
+    have words of an unlisted language. ``reference`` is counted: pass one that is written.
     """
-    # One row per listed language, and one for the others.
-    rows = rows.join(F.broadcast(reference), "language", "left")
+    if reference.count() <= BROADCAST_ROWS:
+        reference = F.broadcast(reference)
+    rows = rows.join(reference, "language", "left")
     rows = rows.withColumns({
         "class_distance": distance(F.col("class_counts"), F.col("class_reference")),
         "word_distance": distance(F.col("word_counts"), F.col("word_reference")),
-        "base_failed": (F.col("n_words") < MIN_WORDS)
-        | (100 * F.col("n_repeat_words") > MAX_REPEATED_PERCENT * F.col("n_words")),
+        "base_failed": _base_failed(),
     })
     even = (
         (F.col("n_text_chars") < MIN_CHARS_FOR_CLASSES)
         | (F.coalesce(F.col("class_distance"), F.lit(0.0)) <= max_class_distance)
     ) & (
         (F.col("n_words") < MIN_WORDS_FOR_WORDS)
-        | (F.col("language") == "")
+        | ~F.col("language").isin(*COMMON_WORDS)
         | (F.coalesce(F.col("word_distance"), F.lit(0.0)) <= max_word_distance)
     )
     return rows.withColumn("kept", ~F.col("base_failed") & even).drop("class_reference", "word_reference")
 
 
 def refined(rows: DataFrame, times: int = REFINEMENTS, **limits: float) -> DataFrame:
-    """References measured on all rows, then ``times`` times on the rows that the last one keeps.
+    """References measured on rows that pass the base rules, then ``times`` times on those that the last keeps.
 
-    ``rows`` are read again each time: pass measures that are written, without their texts.
+    ``rows`` are read again each time: pass measures that are written, without their texts. A language
+    of which too few rows are kept stays with its last reference.
     """
-    reference = references(rows)
-    for _ in range(times):
-        reference = references(judged(rows, reference, **limits).where("kept").select(*rows.columns))
+    reference = written(references(rows.where(~_base_failed())), "rules-reference-0")
+    for number in range(1, times + 1):
+        kept = judged(rows, reference, **limits).where("kept").select(*rows.columns)
+        new = references(kept).withColumnRenamed("language", "again").withColumnsRenamed(
+            {"class_reference": "new_classes", "word_reference": "new_words"}
+        )
+        reference = written(
+            reference.join(new, F.col("language") == F.col("again"), "left").select(
+                "language", F.coalesce("new_classes", "class_reference").alias("class_reference"),
+                F.coalesce("new_words", "word_reference").alias("word_reference"),
+            ),
+            f"rules-reference-{number}",
+        )
     return reference

@@ -127,6 +127,31 @@ def test_rule_cases(odd, none):
     assert rules.judged(rows, rules.refined(rows)).count() == 0
 
 
+def test_rules_of_other_languages_and_of_mostly_junk(docs):
+    rng = random.Random(31)
+
+    def text(letters, n=90):
+        return " ".join("".join(rng.choices(letters, k=rng.randint(3, 8))) for _ in range(n))
+
+    latin, cyrillic, junk = "abcdefilmnoprstu", "абвгдежзиклмнопрсту", "#*$%&|<>"
+    rows = [("it", text(latin)) for _ in range(90)] + [("ru", text(cyrillic)) for _ in range(25)]
+    rows += [(None, text(latin)) for _ in range(90)] + [(None, text(cyrillic)) for _ in range(25)]
+    few = len(rows)
+    rows += [("uk", text(cyrillic))]  # Too few for a reference.
+    # Half letters, half symbols: the mean is far from both, so that a refinement keeps none.
+    none_kept = len(rows)
+    rows += [("xx", text(latin)) for _ in range(30)] + [("xx", text(junk)) for _ in range(30)]
+    junk_at = len(rows)
+    rows += [("it", text(junk, 200)) for _ in range(3)]
+    frame = docs(*[(i, t) for i, (_, t) in enumerate(rows)]).drop("lang")
+    langs = frame.sparkSession.createDataFrame([(i, x) for i, (x, _) in enumerate(rows)], "doc_id long, lang string")
+    measured = rules.measured(frame.join(langs, "doc_id"))
+    found = {r.doc_id: r for r in rules.judged(measured, rules.refined(measured)).collect()}
+    assert all(found[i].kept for i in range(none_kept))
+    assert not any(found[i].kept for i in range(none_kept, len(rows)))
+    assert few < none_kept < junk_at
+
+
 def test_recurrent_model_cases(odd, none):
     found = lm.scored(odd, F.col("doc_id").isNotNull()).collect()
     assert len(found) == len(ROWS)
