@@ -51,29 +51,30 @@ def lanes(lengths: np.ndarray, n: int) -> list[list[int]]:
 def windows(ids: np.ndarray, bounds: np.ndarray, n: int, steps: int, begin: int) -> Iterator[tuple]:
     """Windows (inputs, targets, begins, text) of shape (steps, lanes); ended lanes are left out.
 
-    ``text`` is -1 beyond a lane's end.
+    ``text`` is -1 beyond a lane's end. A window is made from the lanes' places when it is due, so one
+    long text costs its own tokens, not as many in every lane.
     """
     dealt = lanes(np.diff(bounds), n)
     if not dealt:
         return
-    size = np.array([sum(int(bounds[t + 1] - bounds[t]) for t in lane) for lane in dealt])
-    target = np.zeros((len(dealt), int(size.max())), np.int32)
-    text = np.full(target.shape, -1, np.int32)
-    starts = np.zeros(target.shape, bool)
-    for k, lane in enumerate(dealt):
-        at = 0
-        for t in lane:
-            m = int(bounds[t + 1] - bounds[t])
-            target[k, at : at + m] = ids[bounds[t] : bounds[t + 1]]
-            text[k, at : at + m] = t
-            starts[k, at] = True
-            at += m
-    source = np.concatenate([np.full((len(dealt), 1), begin, np.int32), target[:, :-1]], 1)
-    source[starts] = begin
-    for low in range(0, target.shape[1], steps):
+    # The texts in the order of the lanes, and where each lane and each text of it begins.
+    texts = np.concatenate(dealt)
+    at = np.append(0, np.cumsum(np.diff(bounds)[texts]))
+    edge = at[np.append(0, np.cumsum([len(lane) for lane in dealt]))]
+    size = np.diff(edge)
+    for low in range(0, int(size.max()), steps):
         live = int((size > low).sum())
-        part = np.s_[:live, low : low + steps]
-        yield tuple(np.ascontiguousarray(x[part].T) for x in (source, target, starts, text))
+        place = np.arange(low, min(low + steps, int(size.max())))[:, None]
+        inside = place < size[:live]
+        token = np.minimum(edge[:live] + place, at[-1] - 1)
+        of = np.searchsorted(at, token, "right") - 1
+        starts = inside & (token == at[of])
+        own = bounds[texts[of]] + token - at[of]
+        target = np.where(inside, ids[own], 0).astype(np.int32)
+        source = np.where(starts | (own == 0), begin, ids[own - 1])
+        # The step after a lane's end reads its last word; it counts for nothing.
+        source = np.where(place <= size[:live], source, 0).astype(np.int32)
+        yield source, target, starts, np.where(inside, texts[of], -1).astype(np.int32)
 
 
 def _sigmoid(x):

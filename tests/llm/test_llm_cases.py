@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -192,6 +193,27 @@ def test_state_is_carried_across_windows():
     assert whole[0] == 0
 
 
+def test_windows_of_one_long_text_among_short_ones():
+    """Memory goes with the tokens, not with lanes times the longest text; windows as by the definition."""
+    sizes = [400_000, *[30] * 255]
+    bounds = np.append(0, np.cumsum(sizes))
+    ids = np.random.default_rng(4).integers(0, 30, bounds[-1]).astype(np.int32)
+    tracemalloc.start()
+    met = np.zeros(len(ids), int)
+    n = 0
+    for source, target, starts, text in gru.windows(ids, bounds, 256, 32, 31):
+        valid = text >= 0
+        n += int(valid.sum())
+        assert (source[starts] == 31).all() and not starts[~valid].any()
+        inner = valid[1:] & ~starts[1:]
+        assert (source[1:][inner] == target[:-1][inner]).all()
+        met[: 32] += np.bincount(target[valid], minlength=32)[:32]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n == len(ids) and (met[:32] == np.bincount(ids, minlength=32)).all()
+    assert peak < 100 * len(ids)
+
+
 def test_repeat_cases(odd, none):
     found = without_repeats(odd).select("doc_id", "text", "spans", "kept_bytes").collect()
     assert len(found) == len(ROWS)
