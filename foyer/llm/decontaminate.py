@@ -6,6 +6,11 @@ step moving on by a bit that hashes the step and the word; strings at a small ed
 at a small Hamming distance. A table keys such a walk by a few sampled places; windows that share a
 key with an item in any of the tables are compared with it exactly, by words.
 
+Walks lose their alignment as edits add up, so long items and insertions are missed. Therefore an
+item that allows k edits is also cut into k + 1 pieces: one of them at least stands unedited in any match, at
+most k words from its place. Windows that hold a piece so are candidates too, and enough of the
+item's own pairs of neighbours must be there. So no match is missed, whatever the item's length.
+
 Before the walk two bounds drop windows that cannot match: each word that no item has costs an edit,
 and an edit breaks at most two of an item's pairs of neighbours, so enough pairs must be there that
 some item has. Items of similar length share their windows. The items are sent to all tasks in slices of bounded
@@ -32,6 +37,8 @@ WALKS, TABLES, PLACES = 12, 6, 3
 STRETCH = 1.15
 #: Windows of a group that are walked together.
 HELD_WINDOWS = 20_000
+#: Words of windows in which pieces are looked up together.
+HELD_CELLS = 1 << 20
 #: Bytes of item text sent to the tasks in one pass.
 SLICE_BYTES = 16 << 20
 
@@ -95,9 +102,55 @@ class Items:
                 known = np.array(sorted(table), np.uint64)
                 self.tables.append((known, [np.array(table[k]) for k in known.tolist()]))
 
-    def candidates(self, rows: np.ndarray, seed: int) -> tuple[np.ndarray, np.ndarray]:
-        """Pairs (row, item) that share a key in a table."""
+        self._cut()
+
+    def _cut(self) -> None:
+        """The pieces of all items by the hash of their first words, and the items' pairs."""
+        self.length = max(1, int((self.sizes // (self.edits + 1)).min()))
+        item = np.repeat(np.arange(len(self.sizes)), self.edits + 1)
+        piece = np.concatenate([np.arange(k + 1) for k in self.edits])
+        offset = piece * self.sizes[item] // (self.edits[item] + 1)
+        keys = _keys(self.words[item[:, None], offset[:, None] + np.arange(self.length)], np.arange(self.length))
+        order = np.argsort(keys, kind="stable")
+        self.piece_item, self.piece_offset = item[order], offset[order]
+        self.piece_keys, self.piece_first = np.unique(keys[order], return_index=True)
+        self.piece_count = np.diff(np.append(self.piece_first, len(order)))
+        pairs = [_own(i, _pairs(w[: n - 1], w[1:n])) for i, (w, n) in enumerate(zip(self.words, self.sizes, strict=True))]
+        self.own_pairs = np.unique(np.concatenate(pairs))
+
+    def holding_pieces(self, rows: np.ndarray) -> np.ndarray:
+        """Pairs (row, item) where the row holds a piece near its place, and enough pairs of the item."""
         found = [np.zeros((0, 2), np.int64)]
+        step = max(1, HELD_CELLS // rows.shape[1])
+        for low in range(0, len(rows), step):
+            part = rows[low : low + step]
+            n = max(0, part.shape[1] - self.length + 1)
+            keys = np.zeros((len(part), n), np.uint64)
+            for k in range(self.length):
+                keys = bytewords.mix(keys + (part[:, k : k + n].astype(np.int64) + 2).astype(np.uint64))
+            at = np.minimum(np.searchsorted(self.piece_keys, keys), len(self.piece_keys) - 1)
+            row, column = np.nonzero(self.piece_keys[at] == keys)
+            at = at[row, column]
+            count = self.piece_count[at]
+            ends = np.cumsum(count)
+            member = np.repeat(self.piece_first[at] - ends + count, count) + np.arange(count.sum())
+            row, column, item = np.repeat(row, count), np.repeat(column, count), self.piece_item[member]
+            near = np.abs(column - self.piece_offset[member]) <= self.edits[item]
+            pairs = np.unique(np.stack([row[near], item[near]], 1), axis=0)
+            both = _pairs(part[:, :-1].astype(np.int64), part[:, 1:].astype(np.int64))
+            for cut in range(0, len(pairs), step):
+                some = pairs[cut : cut + step]
+                size, edits = self.sizes[some[:, 1]], self.edits[some[:, 1]]
+                own = _own(some[:, 1:], both[some[:, 0]])
+                where = np.minimum(np.searchsorted(self.own_pairs, own), len(self.own_pairs) - 1)
+                inside = np.arange(own.shape[1]) < (size + edits - 1)[:, None]
+                shared = ((self.own_pairs[where] == own) & inside).sum(1) if len(self.own_pairs) else 0
+                found.append(some[shared >= size - 1 - 2 * edits] + [low, 0])
+        return np.concatenate(found)
+
+    def candidates(self, rows: np.ndarray, seed: int) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs (row, item) that share a key in a table, or of which the row holds a piece."""
+        found = [self.holding_pieces(rows)]
         for number, places in enumerate(self.places):
             walked = walk(rows, self.steps, seed + number)
             for t, place in enumerate(places):
@@ -111,6 +164,11 @@ class Items:
         return pairs[:, 0], pairs[:, 1]
 
 
+def _own(item, pairs: np.ndarray) -> np.ndarray:
+    """Hashes of an item's pairs of neighbours."""
+    return bytewords.mix(pairs + np.asarray(item).astype(np.uint64))
+
+
 def _keys(walked: np.ndarray, place: np.ndarray) -> np.ndarray:
     key = np.zeros(len(walked), np.uint64)
     for p in place:

@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from foyer.llm import gru, lm, quality, repeats, rules, secrets, suffixes
+from foyer.llm import bytewords, decontaminate, gru, lm, quality, repeats, rules, secrets, suffixes
 from foyer.llm.components import components
 from foyer.llm.decontaminate import distances, leaks
 from foyer.llm.jaccard import jaccard_groups, one_per_group
@@ -103,6 +103,27 @@ def test_leak_cases(odd, none, spark):
     assert leaks(odd, items.limit(0)).where(F.size("leaks") > 0).count() == 0
 
 
+@pytest.mark.parametrize("words", [8, 15, 40, 59, 100, 200, 400])
+def test_leaks_at_the_edit_limit(words):
+    """Every planted item is found, with insertions alone and with all kinds of edits."""
+    rng = np.random.default_rng(words)
+    vocabulary = bytewords.mix(np.arange(1, 3001, dtype=np.uint64))
+    items = [rng.choice(vocabulary, words) for _ in range(3)]
+    most = int(decontaminate.allowed(words))
+    search = decontaminate.Search(*decontaminate._grouped(items, [0, 1, 2], decontaminate.EDITS, 1), 1)
+    texts = []
+    for trial in range(30):
+        own = items[trial % 3].tolist()
+        kinds = ["insert"] if trial < 15 else ["insert", "delete", "replace"]
+        for _ in range(most):
+            at, kind, new = int(rng.integers(len(own))), str(rng.choice(kinds)), rng.choice(vocabulary)
+            own[at : at + (kind != "insert")] = [] if kind == "delete" else [new]
+        texts.append(np.concatenate([rng.choice(vocabulary, 30), np.array(own, np.uint64), rng.choice(vocabulary, 30)]))
+    search.add(np.concatenate(texts), np.append(0, np.cumsum([len(x) for x in texts])), 0)
+    found = {(text, item) for text, item, *_ in search.matches()}
+    assert found >= {(i, i % 3) for i in range(30)}
+
+
 def test_edit_distances():
     rng = random.Random(7)
     for _ in range(50):
