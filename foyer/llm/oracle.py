@@ -59,3 +59,71 @@ SELECT doc_id, domain, lang, source, epoch, n_tokens, least(n_tokens, lim - mix_
 FROM ranked WHERE mix_rank < lim"""
 
 ORACLES = {"op10_source_mixture": _MIXTURE}
+
+
+# crc32 of a key's decimal text: bytes into the register, eight shifts each, over fixed polynomial 0xEDB88320.
+_CRC = """xor(list_reduce(
+    list_prepend(4294967295::BIGINT, list_transform(string_split(coalesce({key}::VARCHAR, ''), ''), lambda c: ascii(c)::BIGINT)),
+    lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+      lambda x, z: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END)), 4294967295)"""
+
+
+def _field(value: str) -> str:
+    return f"coalesce(strlen({value}::VARCHAR)::VARCHAR || ':' || {value}::VARCHAR, '-')"
+
+
+def _levels(name: str, leaves: str, levels: int) -> str:
+    """The nodes of trees (g, place, node, n) by level, each with what stands before and after it in its run."""
+    parts = []
+    for k in range(levels):
+        if k == 0:
+            source = f"SELECT g, place, node, n FROM {leaves}"
+        else:
+            source = f"""SELECT g, CASE WHEN n > 1 THEN place // 16 ELSE place END AS place,
+    CASE WHEN n > 1 THEN sha256(string_agg(node, '' ORDER BY place)) ELSE min(node) END AS node, (n + 15) // 16 AS n
+    FROM {name}{k - 1} GROUP BY g, CASE WHEN n > 1 THEN place // 16 ELSE place END, n"""
+        parts.append(f"""{name}{k} AS MATERIALIZED (
+  SELECT *, coalesce(string_agg(node, '') OVER (run ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS before,
+    coalesce(string_agg(node, '') OVER (run ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS after
+  FROM ({source}) WINDOW run AS (PARTITION BY g, place // 16 ORDER BY place))""")
+    return ",\n".join(parts)
+
+
+def _climb(name: str, first: str, levels: int, place: str, join: str) -> str:
+    """From ``first``, fold ``now`` and gather ``proof`` through the levels."""
+    parts, last = [], first
+    for k in range(levels):
+        parts.append(f"""{first}_{name}{k} AS (
+  SELECT x.* EXCLUDE (now, proof), x.proof || t.before || t.after AS proof,
+    CASE WHEN t.n > 1 THEN sha256(t.before || x.now || t.after) ELSE x.now END AS now
+  FROM {last} x JOIN {name}{k} t ON {join} AND t.place = x.{place} // {16 ** k})""")
+        last = f"{first}_{name}{k}"
+    return ",\n".join(parts)
+
+
+#: Levels that hold 16^6 documents a source and 16^3 sources.
+_DEEP, _WIDE = 7, 4
+
+_MANIFEST = f"""
+WITH docs AS (
+  SELECT doc_id, coalesce('1' || source, '0') AS g,
+    sha256({" || ".join(_field(c) for c in ("doc_id", "source", "lang", "n_chars", "text"))}) AS leaf,
+    CASE WHEN {_CRC.format(key="doc_id")} % 5 = 0 THEN sha256({" || ".join(_field(c) for c in (
+      "doc_id", "source", "lang", "n_chars", "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')",
+    ))}) END AS seen
+  FROM documents),
+leaves AS MATERIALIZED (
+  SELECT *, leaf AS node, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place,
+    count(*) OVER (PARTITION BY g) AS n FROM docs),
+{_levels("low", "leaves", _DEEP)},
+tops AS (SELECT '' AS g, g AS own, node, row_number() OVER (ORDER BY g) - 1 AS place, count(*) OVER () AS n FROM low{_DEEP - 1}),
+{_levels("high", "tops", _WIDE)},
+start AS (
+  SELECT l.doc_id, l.g, l.leaf, l.place, t.place AS shelf, t.node AS subroot, coalesce(l.seen, l.leaf) AS now, '' AS proof
+  FROM leaves l JOIN tops t ON l.g = t.own),
+{_climb("low", "start", _DEEP, "place", "t.g = x.g")},
+{_climb("high", f"start_low{_DEEP - 1}", _WIDE, "shelf", "t.g = ''")}
+SELECT doc_id, leaf, subroot, r.node AS root, sha256(proof) AS proof_sha256, now AS folded_root, now = r.node AS verified
+FROM start_low{_DEEP - 1}_high{_WIDE - 1}, high{_WIDE - 1} r"""
+
+ORACLES["op11_merkle_manifest"] = _MANIFEST

@@ -9,6 +9,7 @@ from foyer.llm import lm, oracle, quality, rules, secrets
 from foyer.llm.common import documents, key_hash, whole_text, words, written
 from foyer.llm.decontaminate import leaks
 from foyer.llm.jaccard import jaccard_groups
+from foyer.llm.manifest import manifest, proof_digest
 from foyer.llm.mixing import mixed, weights_of
 from foyer.llm.repeats import without_repeats
 from foyer.llm.sharding import shard_by_ring
@@ -157,6 +158,19 @@ def op10_source_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select("doc_id", "domain", "lang", "source", "epoch", "n_tokens", "taken", "mix_rank")
 
 
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's leaf, its proof, and whether its text as found leads to the root."""
+    rows = documents(spark, sf_dir)
+    found = F.when(key_hash("doc_id") % 5 == 0, F.translate("text", UPPER, LOWER)).otherwise(F.col("text"))
+    return manifest(rows, changed={"text": found}).select(
+        F.col("key").alias("doc_id"), "leaf", "subroot", "root", proof_digest().alias("proof_sha256"),
+        "folded_root", "verified",
+    )
+
+
 QUERIES = {
     "op1_ring_sharding": op1_ring_sharding,
     "op2_unigram_tokens": op2_unigram_tokens,
@@ -168,5 +182,6 @@ QUERIES = {
     "op8_linked_secrets": op8_linked_secrets,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_source_mixture": op10_source_mixture,
+    "op11_merkle_manifest": op11_merkle_manifest,
 }
 ORACLES: dict[str, str] = oracle.ORACLES
