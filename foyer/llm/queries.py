@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foyer.llm import lm, oracle, quality, rules, secrets
+from foyer.llm import lm, oracle, quality, rules, secrets, whitening
 from foyer.llm.common import documents, key_hash, whole_text, words, written
 from foyer.llm.decontaminate import leaks
 from foyer.llm.jaccard import jaccard_groups
@@ -171,6 +171,21 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every usable vector along up to 32 exact components, each of unit variance."""
+    rows = whitening.usable(spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding"))
+    model = whitening.fit(rows)
+    error = whitening.identity_error(rows, model)
+    explained = F.array(*map(F.lit, model.explained)).cast("array<double>")
+    return whitening.whitened(rows, model, keep=["vec_id"]).select(
+        "vec_id", "deviation", F.posexplode("whitened").alias("at", "whitened")
+    ).select(
+        "vec_id", (F.col("at") + 1).cast("int").alias("component"), F.lit(model.n).cast("long").alias("n"),
+        F.expr("try_cast(deviation as long)").alias("deviation"), "whitened",
+        F.get(explained, "at").alias("explained"), F.lit(error).cast("double").alias("identity_error"),
+    )
+
+
 QUERIES = {
     "op1_ring_sharding": op1_ring_sharding,
     "op2_unigram_tokens": op2_unigram_tokens,
@@ -183,5 +198,6 @@ QUERIES = {
     "op9_jaccard_join": op9_jaccard_join,
     "op10_source_mixture": op10_source_mixture,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op13_embedding_whitening": op13_embedding_whitening,
 }
 ORACLES: dict[str, str] = oracle.ORACLES
