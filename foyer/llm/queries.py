@@ -10,6 +10,7 @@ from foyer.llm.common import documents, key_hash, whole_text, words, written
 from foyer.llm.decontaminate import leaks
 from foyer.llm.jaccard import jaccard_groups
 from foyer.llm.manifest import manifest, proof_digest
+from foyer.llm.minhash import near_groups
 from foyer.llm.mixing import mixed, weights_of
 from foyer.llm.repeats import without_repeats
 from foyer.llm.sharding import shard_by_ring
@@ -171,6 +172,14 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the size of its set, its component by links of 0.8 or more, and whether it stays."""
+    return near_groups(documents(spark, sf_dir).select("doc_id", "text")).select(
+        F.col("key").alias("doc_id"), F.col("n_grams").alias("n_shingles"),
+        F.col("group_key").alias("component_id"), "kept",
+    )
+
+
 def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every usable vector along up to 32 exact components, each of unit variance."""
     rows = whitening.usable(spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding"))
@@ -198,6 +207,7 @@ QUERIES = {
     "op9_jaccard_join": op9_jaccard_join,
     "op10_source_mixture": op10_source_mixture,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_minhash_dedup": op12_minhash_dedup,
     "op13_embedding_whitening": op13_embedding_whitening,
 }
 ORACLES: dict[str, str] = oracle.ORACLES
