@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from foyer.operators.rejects import REASON, reject_reason
+
 
 def token_rows(lines: DataFrame, split: Callable[[Column], Column], *keep: str) -> DataFrame:
     """One row per token of ``value``, in ``token``, with the columns named in ``keep``."""
@@ -19,9 +21,16 @@ def token_counts(lines: DataFrame, split: Callable[[Column], Column]) -> DataFra
 
 
 def id_messages(lines: DataFrame) -> DataFrame:
-    """``id`` and ``score`` of JSON messages that have both."""
-    message = F.from_json("value", "id string, score int")
-    return lines.select(message.alias("message")).select("message.*").dropna()
+    """``id`` and ``score`` of JSON messages, with ``line`` and ``reject_reason``: a good one has both fields."""
+    message = F.from_json("value", "id string, score int, unreadable string", {"columnNameOfCorruptRecord": "unreadable"})
+    return lines.select(F.col("value").alias("line"), message.alias("message")).select(
+        "line", "message.id", "message.score",
+        reject_reason(
+            unreadable_message=F.col("message").isNull() | F.col("message.unreadable").isNotNull(),
+            missing_id=F.col("message.id").isNull(),
+            missing_score=F.col("message.score").isNull(),
+        ),
+    )
 
 
 def id_counts(messages: DataFrame) -> DataFrame:
@@ -29,6 +38,23 @@ def id_counts(messages: DataFrame) -> DataFrame:
     return messages.groupBy("id").agg(F.count(F.lit(1)).alias("n"))
 
 
+def counts_and_rejects(rows: DataFrame, *keys: str) -> DataFrame:
+    """Running counts of a stream's good rows per key and, in the same pass, its rejects: ``line``,
+    ``reject_reason`` and how often the batch had them, with null keys.
+
+    A reject is a group of its own, keyed by its line and time of arrival; the watermark on that time drops
+    it from the state after its batch. Good rows have no such time, so their groups stay.
+    """
+    bad = F.col(REASON).isNotNull()
+    parted = rows.select(
+        *(F.when(~bad, F.col(key)).alias(key) for key in keys),
+        F.when(bad, F.current_timestamp()).alias("arrived"),
+        F.when(bad, F.coalesce("line", F.lit(""))).alias("line"), REASON,
+    )
+    watched = parted.withWatermark("arrived", "0 seconds")
+    return watched.groupBy(*keys, "arrived", "line", REASON).agg(F.count(F.lit(1)).alias("n")).drop("arrived")
+
+
 def window_counts(
     lines: DataFrame, split: Callable[[Column], Column], at: str, width: str = "5 seconds"
 ) -> DataFrame:

@@ -37,3 +37,13 @@ def counted(rows: DataFrame, name: str = "rows") -> DataFrame:
     return rows.observe(
         name, F.count(F.lit(1)).alias("seen"), F.count(REASON).alias("rejected")
     )
+
+
+def parted(rows: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
+    """The good rows and the rejects of a batch, by one pass that writes both below ``path``."""
+    spark = rows.sparkSession
+    bad = F.col(REASON).isNotNull()
+    split = rows.withColumn("line", F.when(bad, F.col("line"))).withColumn("rejected", bad)
+    split.write.partitionBy("rejected").parquet(path)
+    back = spark.read.schema(split.schema).parquet(path)
+    return kept(back.where("not rejected").drop("rejected")), rejected(back.where("rejected"))

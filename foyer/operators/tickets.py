@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from foyer.functions.pay import loose_pay_total, pay_total
 from foyer.functions.showing import business_date, clock_part, showing_key
 from foyer.functions.text import has_tag, json_field, line_field
-from foyer.operators.rejects import reject_reason
+from foyer.operators.rejects import REASON, reject_reason
 from foyer.schemas import LOOSE_PAY_ITEMS, PAY_VALUES, SHOW_DETAILS, TICKET_TOPIC, ticket_record
 
 
@@ -102,6 +102,20 @@ def presale_tickets(lines: DataFrame, since: str, topic: str = TICKET_TOPIC) ->
 
 
 def schedule_messages(lines: DataFrame, kind: str = SHOW_DETAILS) -> DataFrame:
-    """The JSON bodies whose ``syncType`` is ``kind``, in ``message``."""
-    messages = lines.select(line_field(F.col("value"), 1).alias("message"))
-    return messages.where(json_field(F.col("message"), "syncType") == kind)
+    """The JSON bodies whose ``syncType`` is ``kind``, in ``message``, with ``line`` and ``reject_reason``.
+
+    A body is rejected that is no JSON object or has no ``syncType``; other types are neither kept nor rejected.
+    """
+    body = line_field(F.col("value"), 1)
+    head = F.from_json(body, "syncType string, unreadable string", {"columnNameOfCorruptRecord": "unreadable"})
+    messages = lines.select(
+        F.col("value").alias("line"), body.alias("message"), json_field(body, "syncType").alias("kind"), head.alias("head")
+    ).select(
+        "line", "message", "kind",
+        reject_reason(
+            missing_body=F.coalesce(F.trim("message") == "", F.lit(True)),
+            unreadable_message=F.col("head").isNull() | F.col("head.unreadable").isNotNull(),
+            missing_syncType=F.col("kind").isNull(),
+        ),
+    )
+    return messages.where(F.col(REASON).isNotNull() | (F.col("kind") == kind)).drop("kind")

@@ -14,9 +14,10 @@ from foyer.functions.showing import (
 from foyer.functions.sql import register_functions
 from foyer.functions.text import json_field, space_tokens, tokens
 from foyer.operators import counts, sales, tickets
-from foyer.operators.rejects import kept
+from foyer.operators.rejects import kept, parted
 from foyer.plans import inputs
 from foyer.schemas import LOOSE_PAY_ITEMS, PAY_CODES, PAY_VALUES, ticket_record
+from foyer.session import shared_folder
 from foyer.sources.files import json_tickets, landed_log, text_lines
 from foyer.sources.tables import attach_table, point_filter
 
@@ -159,7 +160,8 @@ def relative_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def json_field_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = inputs.schedule_lines(inputs.table(spark, sf_dir, "events"))
     message = F.col("message")
-    return tickets.schedule_messages(lines).select(
+    good, _ = parted(tickets.schedule_messages(lines), f"{shared_folder(spark, 'schedule')}/messages")
+    return good.select(
         json_field(message, "id").cast("bigint").alias("id"),
         json_field(message, "syncType").alias("sync_type"),
         json_field(message, "props").alias("props"),

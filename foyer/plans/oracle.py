@@ -62,6 +62,13 @@ _SEEDED = f"{_BOX_OFFICE} HAVING max(l_shipdate) >= '{OPENED}'"
 _ID_COUNTS = """
 SELECT CAST(user_id AS VARCHAR) AS id, count(*) AS n FROM events WHERE event_type <> 'error' GROUP BY 1"""
 
+_SHOW_CODES = f"""{_TICKETS}
+SELECT {_KEY}, count(DISTINCT show_code) AS show_codes FROM keyed GROUP BY {_KEY}"""
+
+_WINDOWS = """
+SELECT strftime(time_bucket(INTERVAL 5 SECOND, ts), '%Y-%m-%d %H:%M:%S') AS window_start, token, count(*) AS n
+FROM (SELECT ts, unnest(string_split(event_type || ' ' || props, ' ')) AS token FROM events) GROUP BY 1, 2"""
+
 _SPACES = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _COMMA_LINES = "SELECT text || ',' || lang || ', ' || source || ',,' AS value FROM documents"
 
@@ -84,8 +91,8 @@ SELECT "ticketCode", "isRefund", "cinemaInnerCode", "movieShowStartTime", "movie
 SELECT "ticketCode", "isRefund", {_KEY} FROM keyed""",
     "ticket_pay_sum": f"""{_TICKETS}
 SELECT "ticketCode", "isRefund", pay, pay AS loose_pay FROM tickets""",
-    "distinct_shows_per_key": f"""{_TICKETS}
-SELECT {_KEY}, count(DISTINCT show_code) AS show_codes FROM keyed GROUP BY {_KEY}""",
+    "distinct_shows_per_key": _SHOW_CODES,
+    "running_distinct_shows": _SHOW_CODES,
     "fanout_join_sales": _PAIRS,
     "fanout_join_two_sides": _PAIRS,
     "fanout_join_stream": _PAIRS,
@@ -139,7 +146,7 @@ SELECT l_orderkey, l_linenumber, unnest([l_quantity, l_extendedprice, l_discount
     "restart_from_checkpoint": _RUNNING_SALES,
     "running_id_count": _ID_COUNTS,
     "stream_upsert_snapshot": _ID_COUNTS,
-    "tumbling_window_count": """
-SELECT strftime(time_bucket(INTERVAL 5 SECOND, ts), '%Y-%m-%d %H:%M:%S') AS window_start, token, count(*) AS n
-FROM (SELECT ts, unnest(string_split(event_type || ' ' || props, ' ')) AS token FROM events) GROUP BY 1, 2""",
+    "tumbling_window_count": _WINDOWS,
+    "late_window_count": _WINDOWS,
+    "every_key_each_batch": _ID_COUNTS,
 }

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +19,7 @@ from foyer.plans.batch import OPENED, SINCE
 from foyer.session import shared_folder
 from foyer.sources.files import text_lines
 from foyer.sources.streams import file_lines, file_stream
-from foyer.streaming import jobs, run, sinks
+from foyer.streaming import jobs, run, upserts
 from foyer.streaming.idle import THIRTY_HOURS_MS
 
 Start = Callable[[str], StreamingQuery]
@@ -74,7 +75,7 @@ def _presale(spark: SparkSession, sf_dir: str, name: str, idle_ms: int | None) -
         earlier = text_lines(spark, inputs.ticket_files(spark, sf_dir)).where(sent < OPENED)
         jobs.land_balances(sales.box_office(kept(tickets.presale_tickets(earlier, SINCE))), path)
 
-    balances = jobs.balance_stream(spark, inputs.landed(spark, sf_dir, "balances", "lineitem", write))
+    balances = spark.read.parquet(inputs.landed(spark, sf_dir, "balances", "lineitem", write))
     lines = _feed(spark, sf_dir).where(sent >= OPENED)
     return _table(
         spark, name, BOX_OFFICE_KEY,
@@ -121,17 +122,46 @@ def _quarter_of_files(spark: SparkSession, path: str) -> int:
 
 
 def stream_upsert_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Running id counts over several batches into an upsert log that folds as it grows."""
+    """Running id counts over several batches into a table of buckets that fold as they change."""
     path = inputs.id_files(spark, sf_dir)
     lines = file_lines(spark, path, files_per_batch=_quarter_of_files(spark, path))
 
     def start(folder: str) -> StreamingQuery:
-        write = sinks.upsert_log(jobs.table_path(folder), ["id"], fold_every=2)
+        write = upserts.upsert_table(jobs.table_path(folder), ["id"], buckets=_width(spark))
         return jobs.id_counts(lines, folder, every=None, state_partitions=_width(spark), write=write)
 
     return _table(spark, "upsert", ["id"], start)
 
 
+def every_key_each_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last of several batches of running id counts, each of which gives all keys."""
+    path = inputs.id_files(spark, sf_dir)
+    folder = shared_folder(spark, "whole")
+    lines = file_lines(spark, path, files_per_batch=_quarter_of_files(spark, path))
+    run.finish(jobs.all_id_counts(lines, folder, every=None, state_partitions=_width(spark)))
+    return upserts.whole_copy(spark, jobs.table_path(folder))
+
+
+def running_distinct_shows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Different show codes per showing, from sketches that several batches add to."""
+    path = inputs.ticket_files(spark, sf_dir)
+    lines = file_lines(spark, path, files_per_batch=_quarter_of_files(spark, path))
+    return sales.estimated_shows(_table(
+        spark, "distinct-shows", SHOWING_KEY,
+        lambda folder: jobs.distinct_shows(lines, folder, every=None, state_partitions=_width(spark)),
+    ))
+
+
+def late_window_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words per 5-second window of event time, behind a watermark that no line of one batch is late for."""
+    lines = inputs.event_lines(inputs.table_stream(spark, sf_dir, "events"))
+    counted = _table(
+        spark, "late-windows", ["window_start", "token"],
+        lambda folder: jobs.event_window_counts(lines, "at", folder, every=None, delay=timedelta(minutes=10)),
+    )
+    return counted.select(F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "token", "n")
+
+
 def restart_from_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Running sales stopped after the first batch, then started again to the end."""
     path = inputs.ticket_files(spark, sf_dir)
@@ -157,4 +187,7 @@ QUERIES = {
     "fanout_join_stream": fanout_join_stream,
     "stream_upsert_snapshot": stream_upsert_snapshot,
     "restart_from_checkpoint": restart_from_checkpoint,
+    "every_key_each_batch": every_key_each_batch,
+    "running_distinct_shows": running_distinct_shows,
+    "late_window_count": late_window_count,
 }

@@ -1,23 +1,32 @@
-"""Running box office whose keys are dropped after a time without tickets."""
+"""Running box office on opening balances, whose keys are dropped after a time without tickets.
+
+One state processor holds a key's totals. Opening balances are its initial state: Spark reads them for the
+first batch of a checkpoint and never again. Idle time is watched by a timer per key, which the
+state store keeps in a column family of its own, so it survives a restart.
+"""
 
 from __future__ import annotations
 
 import sys
 from collections.abc import Iterable, Iterator
 
-import pandas as pd
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import (
+    ExpiredTimerInfo,
+    StatefulProcessor,
+    StatefulProcessorHandle,
+    TimerValues,
+)
 
-from foyer.operators.sales import BOX_OFFICE_KEY, fed_rows
+from foyer.operators.sales import BOX_OFFICE_KEY, opening_balances
 
 # Executors get these functions with the plan and need not have the package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-_MEASURES = ("ticket_num", "ticket_amt", "fed")
+_MEASURES = ("ticket_num", "ticket_amt")
 _TOTALS = "ticket_num bigint, ticket_amt bigint"
 
 # Fixed value: 108,000 s.
@@ -47,48 +56,79 @@ def _combine(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from _sums(held)
 
 
-def add_to_state(
-    idle_ms: int, key: tuple, frames: Iterable[pd.DataFrame], state: GroupState
-) -> Iterator[pd.DataFrame]:
-    """Add the batch's sums to the key's totals and put them out if tickets came.
+class BoxOfficeState(StatefulProcessor):
+    """Totals of a key, and the time at which it has been idle for too long.
 
-    A key that has timed out comes out once more, unchanged, and is forgotten.
+    A ticket only moves that time; the timer is looked at when it goes off, and set again if the key
+    was not idle. So a batch costs a key one read and one write, however often it comes.
     """
-    num, amt = state.get if state.exists else (0, 0)
-    if state.hasTimedOut:
-        state.remove()
-        out = True
-    else:
-        out = False
-        for frame in frames:
-            num += int(frame["ticket_num"].to_numpy().sum())
-            amt += int(frame["ticket_amt"].to_numpy().sum())
-            out = out or bool(frame["fed"].to_numpy().any())
-        state.update((num, amt))
-        state.setTimeoutDuration(idle_ms)
-    if out:
-        yield pd.DataFrame({"key": [key[0]], "ticket_num": [num], "ticket_amt": [amt]})
-
-
-def idle_box_office(
-    tickets: DataFrame, balances: DataFrame | None = None, idle_ms: int = THIRTY_HOURS_MS
+
+    def __init__(self, idle_ms: int | None):
+        self._idle_ms = idle_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self._handle = handle
+        self._totals = handle.getValueState("totals", f"{_TOTALS}, due bigint")
+
+    def _due(self, timers: TimerValues) -> int:
+        return 0 if self._idle_ms is None else timers.getCurrentProcessingTimeInMs() + self._idle_ms
+
+    def _begin(self, num: int, amt: int, due: int) -> None:
+        self._totals.update((num, amt, due))
+        if self._idle_ms is not None:
+            self._handle.registerTimer(due)
+
+    def handleInitialState(self, key: tuple, initialState: Row, timerValues: TimerValues) -> None:
+        """An opening balance: kept quietly until a ticket comes or the key has been idle."""
+        self._begin(initialState["ticket_num"], initialState["ticket_amt"], self._due(timerValues))
+
+    def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues: TimerValues) -> Iterator[Row]:
+        """Add the batch's sums to the totals, which come out."""
+        num = amt = 0
+        for row in rows:
+            num += row["ticket_num"]
+            amt += row["ticket_amt"]
+        now, due = self._totals.get(), self._due(timerValues)
+        if now is None:
+            self._begin(num, amt, due)
+        else:
+            num, amt = num + now[0], amt + now[1]
+            self._totals.update((num, amt, due))
+        yield Row(key=key[0], ticket_num=num, ticket_amt=amt)
+
+    def handleExpiredTimer(
+        self, key: tuple, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo
+    ) -> Iterator[Row]:
+        """A key that has been idle comes out once more, unchanged, and is forgotten."""
+        num, amt, due = self._totals.get()
+        if due > timerValues.getCurrentProcessingTimeInMs():
+            self._handle.registerTimer(due)
+            return
+        self._totals.clear()
+        yield Row(key=key[0], ticket_num=num, ticket_amt=amt)
+
+    def close(self) -> None:
+        pass
+
+
+def running_box_office(
+    tickets: DataFrame, balances: DataFrame | None = None, idle_ms: int | None = THIRTY_HOURS_MS
 ) -> DataFrame:
-    """``seeded_box_office`` of a stream, in ``update`` mode, with a timeout.
+    """``box_office`` of a stream on opening balances, in ``update`` mode; a table that is not a stream.
 
-    The clock is processing time. With an ``availableNow`` trigger start the stream with
-    ``idle_batches=False``, or it keeps running empty batches to watch the clock.
+    Only keys with a ticket in the batch come out, and keys that have been idle for ``idle_ms``; with
+    ``None`` no key is ever idle. The clock is processing time. With an ``availableNow`` trigger start the
+    stream with ``idle_batches=False``, or it keeps running empty batches to watch the clock.
     """
-    def step(key, frames, state):
-        return add_to_state(idle_ms, key, frames, state)
-
     # The cost of a key in Python grows with its columns, so the four travel as one.
     packed = F.to_json(F.struct(*BOX_OFFICE_KEY)).alias("key")
-    rows = fed_rows(tickets, balances).select(packed, *_MEASURES)
-    sums = rows.mapInArrow(_combine, f"key string, {_TOTALS}, fed bigint")
-    totals = sums.groupBy("key").applyInPandasWithState(
-        step, f"key string, {_TOTALS}", _TOTALS, "update", GroupStateTimeout.ProcessingTimeTimeout
+    sums = tickets.select(packed, *_MEASURES).mapInArrow(_combine, f"key string, {_TOTALS}")
+    start = None
+    if balances is not None:
+        start = opening_balances(balances).select(packed, *_MEASURES).groupBy("key")
+    totals = sums.groupBy("key").transformWithState(
+        BoxOfficeState(idle_ms), f"key string, {_TOTALS}", "update",
+        "None" if idle_ms is None else "ProcessingTime", start,
     )
     unpacked = F.from_json("key", ", ".join(f"{name} string" for name in BOX_OFFICE_KEY))
-    return totals.select(unpacked.alias("key"), "ticket_num", "ticket_amt").select(
-        "key.*", "ticket_num", "ticket_amt"
-    )
+    return totals.select(unpacked.alias("key"), *_MEASURES).select("key.*", *_MEASURES)

@@ -1,93 +1,19 @@
-"""Where streams write: an upsert log on shared storage, a table per batch, JDBC, console."""
+"""Where streams write, besides the upserted table: a table per batch, JDBC, console."""
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
+from foyer.streaming.files import write_even
 from foyer.streaming.run import BatchWriter
 
-
-_ADAPTIVE = "spark.sql.adaptive.enabled"
-
-
-def _write(rows: DataFrame, path: str, *keys: str) -> None:
-    """Write in files of even size: a small batch of many state partitions in one file, a
-    large one in many. Streams run without adaptive execution, which does this; for the
-    write, whose input is already planned, it is safe to have."""
-    conf = rows.sparkSession.conf
-    before = conf.get(_ADAPTIVE)
-    conf.set(_ADAPTIVE, "true")
-    try:
-        rows.hint("rebalance", *keys).write.mode("overwrite").parquet(path)
-    finally:
-        conf.set(_ADAPTIVE, before)
-
-
-def upsert_log(path: str, keys: Sequence[str], fold_every: int = 100) -> BatchWriter:
-    """Keyed upsert: rows of a later batch replace those of an earlier one.
-
-    A batch adds only its own rows, as ``batch_id=<n>``; a batch that is retried writes the
-    same place again. Every ``fold_every`` batches the current rows are also written whole,
-    readers start from there, and batches before the last whole copy but one are deleted: at
-    most about twice ``fold_every`` folders are there to be listed.
-    Keep the log and the checkpoint of one stream together: they share batch numbers.
-    """
-    def write(batch: DataFrame, batch_id: int) -> None:
-        _write(batch, f"{path}/batch_id={batch_id}/part=changes", *keys)
-        if batch_id % fold_every == fold_every - 1:
-            changes_only = (F.col("batch_id") < batch_id) | (F.col("part") == "changes")
-            whole = _latest(_since_fold(_log(batch.sparkSession, path).where(changes_only)), keys)
-            _write(whole, f"{path}/batch_id={batch_id}/part=whole", *keys)
-            # Readers may still be at the copy before this one; what is older goes.
-            _forget(batch.sparkSession, path, batch_id - fold_every)
-
-    return write
-
-
-def declare(rows: DataFrame, path: str) -> None:
-    """Give a log the columns of ``rows``, so that it can be read before its first batch."""
-    empty = rows.sparkSession.createDataFrame([], rows.schema)
-    empty.write.mode("overwrite").parquet(f"{path}/batch_id=-1/part=changes")
-
-
-def _forget(spark: SparkSession, path: str, before: int) -> None:
-    """Delete the batches before a whole copy, once there is a later one."""
-    root = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    for status in files.listStatus(root):
-        name = status.getPath().getName()
-        if name.startswith("batch_id=") and int(name[9:]) < before:
-            files.delete(status.getPath(), True)
-
-
-def upserted(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
-    """The current rows of an upsert log."""
-    return _latest(_since_fold(_log(spark, path)), keys)
-
-
-def _log(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
-
-
-def _since_fold(log: DataFrame) -> DataFrame:
-    # Reads partition values only; the bound then prunes whole folders from the scan.
-    newest = log.where(F.col("part") == "whole").agg(F.max("batch_id")).first()[0]
-    return log if newest is None else log.where(F.col("batch_id") >= newest)
-
-
-def _latest(log: DataFrame, keys: Sequence[str]) -> DataFrame:
-    values = [name for name in log.columns if name not in (*keys, "batch_id", "part")]
-    return log.groupBy(*keys).agg(*(F.max_by(name, "batch_id").alias(name) for name in values))
-
-
 def batch_tables(path: str, step: Callable[[DataFrame], DataFrame]) -> BatchWriter:
     """Apply ``step`` to each batch on its own and write the result as ``batch_id=<n>``."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        _write(step(batch), f"{path}/batch_id={batch_id}")
+        write_even(step(batch), f"{path}/batch_id={batch_id}")
 
     return write
 

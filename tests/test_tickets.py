@@ -159,12 +159,12 @@ def test_distinct_shows(lines):
 
 def test_schedule_messages(lines):
     feed = lines('t\u0001{"syncType":"Show_Details","a":1}', 't\u0001{"syncType":"Film"}', "t\u0001{}", "t")
-    assert rows(tickets.schedule_messages(feed)) == [('{"syncType":"Show_Details","a":1}',)]
+    assert rows(kept(tickets.schedule_messages(feed))) == [('{"syncType":"Show_Details","a":1}',)]
 
 
 def test_id_messages_need_both_fields(lines):
     feed = lines('{"id":"a","score":1}', '{"id":"a","score":2,"x":0}', '{"id":"b"}', '{"score":3}', "junk")
-    assert rows(id_counts(id_messages(feed))) == [("a", 2)]
+    assert rows(id_counts(kept(id_messages(feed)))) == [("a", 2)]
 
 
 def test_flat_elements(spark):
