@@ -303,13 +303,13 @@ def leaks(
 
     A text leaks an item of m words if some run of its words is within floor(``edits`` x m) word
     edits of it; ``first`` and ``end`` are the run's places in words. Items of under ``min_words``
-    words, null ones included, are no passages and match nothing. A null item id is kept as null. A
+    words, null ones included, are no passages and match nothing. A null item id is kept as null, and one that is no whole number is null. A
     null or empty text has no leaks. ``keep``: the columns to return, all by default. Repeated items
     and rows each count. A column of the new name is replaced.
     """
     keep = [c for c in (docs.columns if keep is None else keep) if c.lower() != column]
     number, slice_of = "number", "slice"
-    passages = items.select(named(item).cast("long").alias("item"), whole_text(item_text).alias("text"))
+    passages = items.select(named(item).try_cast("long").alias("item"), whole_text(item_text).alias("text"))
     size = passages.agg(F.sum(F.octet_length("text"))).head()[0] or 0
     slices = max(1, math.ceil(size / SLICE_BYTES))
     passages = passages.withColumn(slice_of, F.pmod(F.xxhash64("item", "text"), F.lit(slices)))

@@ -79,7 +79,8 @@ def statistics(raw: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 
 
 def described(docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
-    """The kept columns and a column per statistic. A null text counts as empty."""
+    """The kept columns and a column per statistic, which replaces one of its name. A null text counts as empty."""
+    keep = [c for c in keep if c.lower() not in STATISTICS]
     inside = fresh("quality_text", docs)
     rows = docs.select(*map(named, keep), whole_text(text).alias(inside))
     schema = rows.drop(inside).schema
@@ -150,7 +151,8 @@ def fit(rows: DataFrame, label: str, shrinkage: float = SHRINKAGE) -> Discrimina
 
 
 def scores(rows: DataFrame, model: Discriminant, keep: list[str], column: str = "score") -> DataFrame:
-    """The kept columns of described rows with their score, from 0 to 1."""
+    """The kept columns of described rows with their score, from 0 to 1; it replaces a column of its name."""
+    keep = [c for c in keep if c.lower() != column.lower()]
     chosen = rows.select(*map(named, keep), *map(named, STATISTICS))
     schema = rows.select(*map(named, keep)).schema.add(column, "double")
 

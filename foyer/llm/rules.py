@@ -207,8 +207,11 @@ def judged(
 
     A row is kept if the base rules pass and each distance is within its limit or gives no
     verdict: texts under the minimum lengths have none, nor has a language without a reference, nor
-    have words of an unlisted language. ``reference`` is counted: pass one that is written.
+    have words of an unlisted language. ``reference`` is counted: pass one that is written. Columns of
+    the names of what is added, or of the reference, are replaced.
     """
+    added = {"class_reference", "word_reference", "class_distance", "word_distance", "base_failed", "kept"}
+    rows = rows.drop(*(c for c in rows.columns if c.lower() in added))
     if reference.count() <= BROADCAST_ROWS:
         reference = F.broadcast(reference)
     rows = rows.join(reference, "language", "left")
@@ -236,7 +239,7 @@ def refined(rows: DataFrame, times: int = REFINEMENTS, **limits: float) -> DataF
     """
     reference = written(references(rows.where(~_base_failed())), "rules-reference-0")
     for number in range(1, times + 1):
-        kept = judged(rows, reference, **limits).where("kept").select(*rows.columns)
+        kept = judged(rows, reference, **limits).where("kept").select("language", "class_counts", "word_counts")
         new = references(kept).withColumnRenamed("language", "again").withColumnsRenamed(
             {"class_reference": "new_classes", "word_reference": "new_words"}
         )

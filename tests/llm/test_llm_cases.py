@@ -401,3 +401,56 @@ def test_stage_cases(spark, sf_dir, odd, none, stage):
         assert found.count() <= docs.count(), name
         if stage < 4:
             assert found.columns == docs.columns
+
+
+CLASHING = {
+    "kept": 7, "language": "q", "leaks": 1, "epoch": 4, "n_tokens": "z", "domain": "dd", "length": "l", "row": "r",
+    "class_reference": 3, "word_reference": "w", "taken": 5, "mix_rank": "m", "w_lang": 2, "n_words": "n", "base_failed": 9,
+}
+
+
+@pytest.mark.parametrize("stage", range(4))
+def test_stages_leave_values_of_columns_alone(spark, docs, sf_dir, stage):
+    """Every row that stays is one that came, whatever its other columns are called."""
+    rows = [(i, prose(i, 60 + i)) for i in range(40)] + [(None, None), (3, ""), (5, prose(99, 90))]
+    frame = docs(*rows, **CLASHING)
+    name, function = corpus_pipeline.STAGES[stage]
+    found = function(spark, frame, sf_dir)
+    assert found.columns == frame.columns and found.schema.simpleString() == frame.schema.simpleString()
+    came, stay = Counter(map(repr, frame.collect())), Counter(map(repr, found.collect()))
+    assert not stay - came and sum(stay.values()) > 15, name
+
+
+def test_clashing_names_of_statistics_and_references(spark, docs):
+    frame = docs(*[(i, prose(i, 60)) for i in range(30)], **CLASHING, score=1, variety=2, label=0)
+    frame = frame.withColumn("label", F.col("doc_id") % 2)
+    rows = quality.described(frame, ["doc_id", "length", "score", "label", "kept"])
+    found = quality.scores(rows, quality.fit(rows, "label"), ["doc_id", "score", "kept"])
+    assert found.columns == ["doc_id", "kept", "score"] and found.where("score between 0 and 1").count() == 30
+    judged = rules.judged(rules.measured(frame), rules.refined(rules.measured(frame).drop("text")))
+    assert judged.where("kept is not null").count() == 30 and judged.columns.count("kept") == 1
+
+
+def test_leaks_of_items_with_other_ids(spark, docs):
+    items = spark.createDataFrame([("x7", prose(1, 20)), ("12", prose(2, 20)), (None, prose(3, 20))], "item_id string, text string")
+    frame = docs((1, prose(5, 30) + " " + prose(1, 20)), (2, prose(2, 20)), (3, prose(6, 50)), (4, prose(3, 20)))
+    found = {r.doc_id: [x["item"] for x in r.leaks] for r in leaks(frame, items).collect()}
+    assert found == {1: [None], 2: [12], 3: [], 4: [None]}
+
+
+@pytest.mark.parametrize("part", [2048, 2])
+def test_jaccard_of_edited_copies_and_a_common_passage(docs, monkeypatch, part):
+    """Groups round a base and texts that share a passage, against all pairs; in parts of any size."""
+    from foyer.llm import jaccard
+
+    from .test_minhash import expected, family
+
+    monkeypatch.setattr(jaccard, "PART", part)
+    rng = random.Random(4)
+    every = [*family(11, 60, 0.02), *family(12, 40, 0.04)]
+    passage = " ".join(f"common{i}" for i in range(60))
+    every += [passage + " " + " ".join(f"own{i}_{k}" for k in range(rng.randrange(5, 60))) for i in range(40)]
+    rng.shuffle(every)
+    rows = list(enumerate(every))
+    found = {r.key: (r.n_grams, r.group_key) for r in jaccard_groups(docs(*rows)).collect()}
+    assert found == expected(rows, 5, 75)
