@@ -3,7 +3,7 @@
 Rules drop junk, the Jaccard join leaves one document of each group of near copies, texts that hold a
 benchmark item go, a mixture brings sources nearer to their target weights, and what is left is dealt
 to shards. Each stage reads what the one before wrote. All but the last return the columns of the
-documents, in any order of rows; nulls, empty texts and repeated rows are as the operators state.
+documents with the values that they had, in any order of rows; nulls, empty texts and repeated rows are as the operators state.
 """
 
 from __future__ import annotations
@@ -23,12 +23,16 @@ from foyer.llm.sharding import shard_by_ring
 MIX_SHARE, MIX_SEED = (4, 5), 11
 
 
+def packed(docs: DataFrame, *names: str) -> DataFrame:
+    """Whole rows in ``row``, beside the columns that a stage works on: it then replaces none of the rows' own."""
+    return docs.select(F.struct(*map(named, docs.columns)).alias("row"), *(named(name).alias(name) for name in names))
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rules and the divergence rules keep."""
-    measures = rules.measured(docs).select("n_words", "n_repeat_words", "n_text_chars", "language", "class_counts", "word_counts")
-    reference = written(rules.refined(written(measures, "pipeline-measures")), "pipeline-reference")
-    kept = rules.judged(rules.measured(docs), reference).where("kept")
-    return kept.select(*map(named, docs.columns))
+    rows = written(rules.measured(packed(docs, "text", "lang")).drop("text", "lang"), "pipeline-measures")
+    reference = rules.refined(rows.drop("row"))
+    return rules.judged(rows, reference).where("kept").select("row.*")
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,17 +42,18 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item, whole or nearly so."""
-    found = leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return found.where(F.size("leaks") == 0).select(*map(named, docs.columns))
+    found = leaks(packed(docs, "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), keep=["row"])
+    return found.where(F.size("leaks") == 0).select("row.*")
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of the token prefix of each source; a last one is kept whole."""
+    rows = with_mix_levels(packed(docs, "doc_id", "lang", "source", "text")).drop("text")
     taken = mixed(
-        with_mix_levels(docs), ["domain", "lang", "source"], ["w_domain", "w_lang", "w_source"],
+        rows, ["domain", "lang", "source"], ["w_domain", "w_lang", "w_source"],
         share=MIX_SHARE, max_epochs=1, seed=MIX_SEED,
     )
-    return taken.select(*map(named, docs.columns))
+    return taken.select("row.*")
 
 
 def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
