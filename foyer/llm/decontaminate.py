@@ -1,19 +1,22 @@
 """Benchmark decontamination by an edit-distance LSH over item-sized windows.
 
-Texts and items are words: lower case, ASCII punctuation and white space between them. A window starts
-at every word. A random walk (CGK) writes a window's words out to three times its length, at each
-step moving on by a bit that hashes the step and the word; strings at a small edit distance come out
-at a small Hamming distance. A table keys such a walk by a few sampled places; windows that share a
-key with an item in any of the tables are compared with it exactly, by words.
-
-Walks lose their alignment as edits add up, so long items and insertions are missed. Therefore an
-item that allows k edits is also cut into k + 1 pieces: one of them at least stands unedited in any match, at
-most k words from its place. Windows that hold a piece so are candidates too, and enough of the
-item's own pairs of neighbours must be there. So no match is missed, whatever the item's length.
-
-Before the walk two bounds drop windows that cannot match: each word that no item has costs an edit,
-and an edit breaks at most two of an item's pairs of neighbours, so enough pairs must be there that
-some item has. Items of similar length share their windows. The items are sent to all tasks in slices of bounded
+Texts and items are words: lower case, ASCII punctuation and white space between them. An item is cut into
+blocks of 16 to 31 words (a shorter one is a block as it is); of the k edits that an item of n blocks
+may have, one block at least has no more than k / n. A window starts at every word of a text. A random walk
+(CGK) writes a window's words out to more places, at each step moving on by a bit that hashes the step and
+the word; strings at a small edit distance come out at a small Hamming distance. A table keys such a
+walk by a few sampled places, and windows that share a key with a block in any of the tables are compared with it.
+
+How many walks a group of blocks of similar length gets follows from the target recall: blocks
+with as many edits as they may have, insertions alone and all kinds, are walked when the tables are made, and
+the share of them that a walk finds says how many walks miss few enough. Long items have several blocks, each of
+which finds them, so their recall is higher.
+
+Where a block is found, the whole item is compared exactly, from every place at which it can begin.
+
+Before the walk two bounds drop windows that cannot match a block: each word that no item has costs an edit,
+and an edit breaks at most two of a block's pairs of neighbours, so enough pairs must be there that
+some item has. Blocks of similar length share their windows. The items are sent to all tasks in slices of bounded
 size; each slice is one pass over the texts, and nothing is shuffled.
 """
 
@@ -32,12 +35,19 @@ from foyer.llm.common import fresh, named, whole_text
 
 #: Edits per item word that still match, and words below which an item is no passage.
 EDITS, MIN_WORDS = 0.25, 8
-WALKS, TABLES, PLACES = 12, 6, 3
-#: Item lengths that share windows: up to so many times the least.
+#: Share of the texts with as many edits as may be that is found, at least.
+RECALL = 0.97
+#: Least words of a block of a longer item.
+BLOCK = 16
+#: Tables of a walk, places of a key; most walks.
+TABLES, PLACES, MOST_WALKS = 6, 3, 64
+#: Edited blocks, and walks of each, that the number of walks is measured by.
+TRIALS, TRIAL_WALKS = 300, 8
+#: Block lengths that share windows: up to so many times the least.
 STRETCH = 1.15
 #: Windows of a group that are walked together.
 HELD_WINDOWS = 20_000
-#: Words of windows in which pieces are looked up together.
+#: Words of windows that are compared with an item in one go.
 HELD_CELLS = 1 << 20
 #: Bytes of item text sent to the tasks in one pass.
 SLICE_BYTES = 16 << 20
@@ -59,120 +69,119 @@ def allowed(words: int | np.ndarray, edits: float = EDITS):
     return np.floor(np.asarray(words) * edits + 1e-9).astype(np.int64)
 
 
-def walk(rows: np.ndarray, steps: int, seed: int) -> np.ndarray:
-    """The random walks of rows of word numbers: (rows, steps); beyond a row's end, its last pad."""
+def walk(rows: np.ndarray, steps: int, seed: int, wanted: np.ndarray) -> np.ndarray:
+    """The random walks of rows of word numbers: (steps, rows); beyond a row's end, its last pad.
+
+    Only the ``wanted`` steps hold words. The bits of a word's hash say at which steps the walk moves on from it.
+    """
     n, width = rows.shape
-    at = np.zeros(n, np.int64)
-    out = np.empty((n, steps), rows.dtype)
-    every = np.arange(n)
+    words = np.full((n, width + 1), -1, np.int64)
+    words[:, :-1] = rows
+    words = words.ravel()
+    bits = bytewords.mix((words + 2).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(seed * 1_000_003))
+    at = np.arange(n) * (width + 1)
+    end = at + width
+    out = np.zeros((steps, n), np.int64)
+    needed = set(wanted.tolist())
     for step in range(steps):
-        word = rows[every, np.minimum(at, width - 1)]
-        word = np.where(at < width, word, -1)
-        out[:, step] = word
-        key = (word.astype(np.int64) + 2).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-        key += np.uint64(seed * 1_000_003 + step)
-        at += (bytewords.mix(key) >> np.uint64(63)).astype(np.int64)
+        if step in needed:
+            out[step] = words[at]
+        at = np.minimum(at + ((bits[at] >> np.uint64(step % 64)) & np.uint64(1)).astype(np.int64), end)
     return out
 
 
-class Items:
-    """Items of similar length with their keys in every table."""
+def _edited(rng: np.random.Generator, size: int, edits: int, kinds: int, width: int) -> np.ndarray:
+    """Blocks of words 0 to size - 1, each after ``edits`` edits; words behind it, to ``width``, are others'."""
+    out = np.empty((TRIALS, width), np.int64)
+    for trial in range(TRIALS):
+        own, new = list(range(size)), iter(range(size, size + width + edits))
+        for _ in range(edits):
+            at, kind = int(rng.integers(len(own) + 1)), int(rng.integers(kinds))
+            if kind == 0 or at == len(own):
+                own.insert(at, next(new))
+            else:
+                own[at : at + 1] = [next(new)] if kind == 1 else []
+        out[trial] = [*own, *new][:width]
+    return out
+
 
-    def __init__(self, numbers, rows, edits: float, seed: int):
-        self.numbers = np.array(numbers)
-        self.sizes = np.array([len(r) for r in rows])
+def walks_for(size: int, edits: int, steps: int, places: list, recall: float, seed: int) -> int:
+    """Walks that find the target share of blocks of so many words after so many edits, of the harder kind."""
+    if not edits:
+        return 1
+    rng = np.random.default_rng([seed, size, edits])
+    most = 1
+    for kinds in (1, 3):  # Insertions alone; all kinds.
+        rows = _edited(rng, size, edits, kinds, size + edits)
+        hits = np.zeros((TRIALS, TRIAL_WALKS), bool)
+        for number in range(TRIAL_WALKS):
+            wanted = np.concatenate(places[number])
+            plain = walk(np.arange(size)[None], steps, seed + number, wanted)
+            walked = walk(rows, steps, seed + number, wanted)
+            for place in places[number]:
+                hits[:, number] |= (walked[place] == plain[place]).all(0)
+        # Blocks differ in how easily they are found: each one's chance counts by itself.
+        chance = (hits.sum(1) + 0.5) / (TRIAL_WALKS + 1)
+        number = 1
+        while number < MOST_WALKS and ((1 - chance) ** number).mean() > 1 - recall:
+            number += 1
+        most = max(most, number)
+    return most
+
+
+class Blocks:
+    """Blocks of similar length, with the items they are of and their keys in every table."""
+
+    def __init__(self, blocks: list[tuple[int, int, int, np.ndarray]], recall: float, seed: int):
+        """Blocks are (item, words of the item before it, edits, words)."""
+        self.item, self.offset, self.edits = (np.array([b[i] for b in blocks]) for i in range(3))
+        self.sizes = np.array([len(b[3]) for b in blocks])
         self.least, self.most = int(self.sizes.min()), int(self.sizes.max())
-        self.edits = allowed(self.sizes, edits)
         self.least_pairs = int((self.sizes - 1 - 2 * self.edits).min())
-        self.words = np.full((len(rows), self.most), -1, np.int64)
-        for i, row in enumerate(rows):
+        self.words = np.full((len(blocks), self.most), -1, np.int64)
+        for i, (*_, row) in enumerate(blocks):
             self.words[i, : len(row)] = row
         rng = np.random.default_rng([seed, self.least])
-        # Sampled where every item of the group still walks.
-        steps = max(PLACES, int(1.6 * self.least))
-        self.steps = steps
-        self.places = [[rng.choice(steps, PLACES, replace=False) for _ in range(TABLES)] for _ in range(WALKS)]
+        # Sampled where every block of the group still walks.
+        self.steps = max(PLACES, int(1.6 * self.least))
+        places = [[rng.choice(self.steps, PLACES, replace=False) for _ in range(TABLES)] for _ in range(MOST_WALKS)]
+        walks = max(
+            walks_for(size, edits, self.steps, places, recall, seed)
+            for size, edits in sorted({(int(s), int(e)) for s, e in zip(self.sizes, self.edits, strict=True)})
+        )
+        self.places = places[:walks]
         self.tables = []
-        for number, places in enumerate(self.places):
-            walked = walk(self.words, steps, seed + number)
-            for place in places:
-                table: dict[int, list[int]] = {}
-                for i, key in enumerate(_keys(walked, place).tolist()):
-                    table.setdefault(key, []).append(i)
-                known = np.array(sorted(table), np.uint64)
-                self.tables.append((known, [np.array(table[k]) for k in known.tolist()]))
-
-        self._cut()
-
-    def _cut(self) -> None:
-        """The pieces of all items by the hash of their first words, and the items' pairs."""
-        self.length = max(1, int((self.sizes // (self.edits + 1)).min()))
-        item = np.repeat(np.arange(len(self.sizes)), self.edits + 1)
-        piece = np.concatenate([np.arange(k + 1) for k in self.edits])
-        offset = piece * self.sizes[item] // (self.edits[item] + 1)
-        keys = _keys(self.words[item[:, None], offset[:, None] + np.arange(self.length)], np.arange(self.length))
-        order = np.argsort(keys, kind="stable")
-        self.piece_item, self.piece_offset = item[order], offset[order]
-        self.piece_keys, self.piece_first = np.unique(keys[order], return_index=True)
-        self.piece_count = np.diff(np.append(self.piece_first, len(order)))
-        pairs = [_own(i, _pairs(w[: n - 1], w[1:n])) for i, (w, n) in enumerate(zip(self.words, self.sizes, strict=True))]
-        self.own_pairs = np.unique(np.concatenate(pairs))
-
-    def holding_pieces(self, rows: np.ndarray) -> np.ndarray:
-        """Pairs (row, item) where the row holds a piece near its place, and enough pairs of the item."""
-        found = [np.zeros((0, 2), np.int64)]
-        step = max(1, HELD_CELLS // rows.shape[1])
-        for low in range(0, len(rows), step):
-            part = rows[low : low + step]
-            n = max(0, part.shape[1] - self.length + 1)
-            keys = np.zeros((len(part), n), np.uint64)
-            for k in range(self.length):
-                keys = bytewords.mix(keys + (part[:, k : k + n].astype(np.int64) + 2).astype(np.uint64))
-            at = np.minimum(np.searchsorted(self.piece_keys, keys), len(self.piece_keys) - 1)
-            row, column = np.nonzero(self.piece_keys[at] == keys)
-            at = at[row, column]
-            count = self.piece_count[at]
-            ends = np.cumsum(count)
-            member = np.repeat(self.piece_first[at] - ends + count, count) + np.arange(count.sum())
-            row, column, item = np.repeat(row, count), np.repeat(column, count), self.piece_item[member]
-            near = np.abs(column - self.piece_offset[member]) <= self.edits[item]
-            pairs = np.unique(np.stack([row[near], item[near]], 1), axis=0)
-            both = _pairs(part[:, :-1].astype(np.int64), part[:, 1:].astype(np.int64))
-            for cut in range(0, len(pairs), step):
-                some = pairs[cut : cut + step]
-                size, edits = self.sizes[some[:, 1]], self.edits[some[:, 1]]
-                own = _own(some[:, 1:], both[some[:, 0]])
-                where = np.minimum(np.searchsorted(self.own_pairs, own), len(self.own_pairs) - 1)
-                inside = np.arange(own.shape[1]) < (size + edits - 1)[:, None]
-                shared = ((self.own_pairs[where] == own) & inside).sum(1) if len(self.own_pairs) else 0
-                found.append(some[shared >= size - 1 - 2 * edits] + [low, 0])
-        return np.concatenate(found)
+        for number, own in enumerate(self.places):
+            walked = walk(self.words, self.steps, seed + number, np.concatenate(own))
+            for place in own:
+                keys = _keys(walked, place)
+                order = np.argsort(keys, kind="stable")
+                known, first = np.unique(keys[order], return_index=True)
+                self.tables.append((known, np.append(first, len(keys)), order))
 
     def candidates(self, rows: np.ndarray, seed: int) -> tuple[np.ndarray, np.ndarray]:
-        """Pairs (row, item) that share a key in a table, or of which the row holds a piece."""
-        found = [self.holding_pieces(rows)]
+        """Pairs (row, block) that share a key in a table."""
+        found = [np.zeros(0, np.int64)]
         for number, places in enumerate(self.places):
-            walked = walk(rows, self.steps, seed + number)
+            walked = walk(rows, self.steps, seed + number, np.concatenate(places))
             for t, place in enumerate(places):
-                known, members = self.tables[number * TABLES + t]
+                known, first, members = self.tables[number * TABLES + t]
                 keys = _keys(walked, place)
                 at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
-                for row in np.flatnonzero(known[at] == keys).tolist():
-                    items = members[at[row]]
-                    found.append(np.stack([np.full(len(items), row), items], 1))
-        pairs = np.unique(np.concatenate(found), axis=0)
-        return pairs[:, 0], pairs[:, 1]
-
-
-def _own(item, pairs: np.ndarray) -> np.ndarray:
-    """Hashes of an item's pairs of neighbours."""
-    return bytewords.mix(pairs + np.asarray(item).astype(np.uint64))
+                row = np.flatnonzero(known[at] == keys)
+                at = at[row]
+                count = first[at + 1] - first[at]
+                ends = np.cumsum(count)
+                member = members[np.repeat(first[at] - ends + count, count) + np.arange(count.sum())]
+                found.append(np.repeat(row, count) * len(self.sizes) + member)
+        pairs = np.unique(np.concatenate(found))
+        return pairs // len(self.sizes), pairs % len(self.sizes)
 
 
 def _keys(walked: np.ndarray, place: np.ndarray) -> np.ndarray:
-    key = np.zeros(len(walked), np.uint64)
+    key = np.zeros(walked.shape[1], np.uint64)
     for p in place:
-        key = bytewords.mix(key + (walked[:, p].astype(np.int64) + 2).astype(np.uint64))
+        key = bytewords.mix(key + (walked[p] + 2).astype(np.uint64))
     return key
 
 
@@ -204,26 +213,32 @@ def _pairs(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return bytewords.mix((left.astype(np.uint64) << np.uint64(32)) + right.astype(np.uint64))
 
 
-def _grouped(hashes: list[np.ndarray], numbers: list[int], edits: float, seed: int):
-    """The tables of the items' words and pairs of words, and the items by length."""
+def _grouped(hashes: list[np.ndarray], numbers: list[int], edits: float, seed: int, recall: float = RECALL):
+    """The tables of the items' words and pairs of words, the items, and their blocks by length."""
     vocabulary = np.unique(np.concatenate(hashes)) if hashes else np.zeros(0, np.uint64)
     table = bytewords.Table(vocabulary)
-    numbered = [table.find(own) for own in hashes]
-    pairs = [_pairs(own[:-1], own[1:]) for own in numbered]
+    items = dict(zip(numbers, map(table.find, hashes), strict=True))
+    pairs = [_pairs(own[:-1], own[1:]) for own in items.values()]
     pairs = bytewords.Table(np.unique(np.concatenate(pairs)) if pairs else np.zeros(0, np.uint64))
-    by_size = sorted(zip(map(len, hashes), numbers, hashes, strict=True), key=lambda x: (x[0], x[1]))
+    blocks = []
+    for number, own in items.items():
+        n = max(1, len(own) // BLOCK)
+        most = int(allowed(len(own), edits)) // n
+        cuts = [len(own) * i // n for i in range(n + 1)]
+        blocks += [(number, low, most, own[low:high]) for low, high in zip(cuts, cuts[1:], strict=False)]
     groups, held = [], []
-    for size, number, own in by_size:
-        if held and size > STRETCH * len(held[0][1]):
+    for block in sorted(blocks, key=lambda b: (len(b[3]), b[0], b[1])):
+        if held and len(block[3]) > STRETCH * len(held[0][3]):
             groups.append(held)
             held = []
-        held.append((number, table.find(own)))
+        held.append(block)
     if held:
         groups.append(held)
-    return table, pairs, [Items([x[0] for x in g], [x[1] for x in g], edits, seed) for g in groups]
+    items = {number: (own, int(allowed(len(own), edits))) for number, own in items.items()}
+    return table, pairs, items, [Blocks(group, recall, seed) for group in groups]
 
 
-def live_windows(ids: np.ndarray, bounds: np.ndarray, pairs: bytewords.Table, groups: list[Items]):
+def live_windows(ids: np.ndarray, bounds: np.ndarray, pairs: bytewords.Table, groups: list[Blocks]):
     """Per group, the windows that the bounds leave: text number, first word, the words of the window.
 
     ``ids`` are word numbers, -1 for words that no item has.
@@ -255,54 +270,75 @@ def live_windows(ids: np.ndarray, bounds: np.ndarray, pairs: bytewords.Table, gr
 class Search:
     """Matches of items in texts; windows are gathered and compared many at a time."""
 
-    def __init__(self, table, pairs, groups: list[Items], seed: int):
-        self.table, self.pairs, self.groups, self.seed = table, pairs, groups, seed
+    def __init__(self, table, pairs, items: dict, groups: list[Blocks], seed: int):
+        self.table, self.pairs, self.items, self.groups, self.seed = table, pairs, items, groups, seed
         self.held: list[list[tuple]] = [[] for _ in groups]
-        self.found: list[tuple] = []
+        self.texts: dict[int, np.ndarray] = {}
+        self.begins: dict[tuple[int, int], set[int]] = {}
 
     def add(self, hashes: np.ndarray, bounds: np.ndarray, first: int) -> None:
         """Texts by their word hashes; ``first`` is the number of the first one."""
         if len(hashes):
-            found = live_windows(self.table.find(hashes), bounds, self.pairs, self.groups)
-            for number, (text, at, rows) in enumerate(found):
+            ids = self.table.find(hashes)
+            for number, (text, at, rows) in enumerate(live_windows(ids, bounds, self.pairs, self.groups)):
+                for i in np.unique(text).tolist():
+                    if i + first not in self.texts:
+                        self.texts[i + first] = ids[bounds[i] : bounds[i + 1]].copy()
                 self.held[number].append((text + first, at, rows))
                 if sum(len(x[0]) for x in self.held[number]) >= HELD_WINDOWS:
-                    self._compare(number)
+                    self._look(number)
 
     def matches(self) -> list[tuple]:
         """All matches so far: (text, item, edits, first word, end)."""
         for number in range(len(self.groups)):
-            self._compare(number)
-        found, self.found = self.found, []
+            self._look(number)
+        found = [match for pair, begins in self.begins.items() for match in self._compared(*pair, begins)]
+        self.texts, self.begins = {}, {}
         return found
 
-    def _compare(self, number: int) -> None:
+    def _look(self, number: int) -> None:
+        """Note where the items of blocks that windows match can begin."""
         if not self.held[number]:
             return
         group = self.groups[number]
         text, at, rows = (np.concatenate(x) for x in zip(*self.held[number], strict=True))
         self.held[number] = []
-        row, item = group.candidates(rows, self.seed) if len(rows) else (text[:0], text[:0])
+        row, block = group.candidates(rows, self.seed) if len(rows) else (text[:0], text[:0])
         for cut in range(0, len(row), 8192):
-            r, i = row[cut : cut + 8192], item[cut : cut + 8192]
-            edits, length = distances(group.words[i], group.sizes[i], rows[r])
-            good = edits <= group.edits[i]
-            r, i = r[good], i[good]
-            self.found += zip(
-                text[r].tolist(), group.numbers[i].tolist(), edits[good].tolist(), at[r].tolist(),
-                (at[r] + length[good]).tolist(), strict=True,
-            )
+            r, b = row[cut : cut + 8192], block[cut : cut + 8192]
+            edits, _ = distances(group.words[b], group.sizes[b], rows[r])
+            good = edits <= group.edits[b]
+            r, b = r[good], b[good]
+            for i, item, begin in zip(text[r].tolist(), group.item[b].tolist(), (at[r] - group.offset[b]).tolist(), strict=True):
+                self.begins.setdefault((i, item), set()).add(begin)
+
+    def _compared(self, text: int, item: int, begins: set[int]):
+        """The whole item against the text, from every word at which edits before the block may have put it."""
+        own, most = self.items[item]
+        ids = np.append(self.texts[text], -1)
+        starts = np.unique(np.concatenate([np.arange(b - most, b + most + 1) for b in sorted(begins)]))
+        starts = starts[(starts >= 0) & (starts < len(ids) - 1)]
+        width = len(own) + most
+        step = max(1, HELD_CELLS // width)
+        for cut in range(0, len(starts), step):
+            some = starts[cut : cut + step]
+            rows = ids[np.minimum(some[:, None] + np.arange(width), len(ids) - 1)]
+            edits, length = distances(np.broadcast_to(own, (len(some), len(own))), np.full(len(some), len(own)), rows)
+            good = edits <= most
+            for e, first, n in zip(edits[good].tolist(), some[good].tolist(), length[good].tolist(), strict=True):
+                yield text, item, e, first, first + n
 
 
 def leaks(
     docs: DataFrame, items: DataFrame, *, text: str = "text", item: str = "item_id", item_text: str = "text",
     edits: float = EDITS, min_words: int = MIN_WORDS, seed: int = 1, keep: list[str] | None = None,
-    column: str = "leaks",
+    column: str = "leaks", recall: float = RECALL,
 ) -> DataFrame:
     """The rows with ``leaks``: array of (item, edits, first, end), a best match per item, by item.
 
     A text leaks an item of m words if some run of its words is within floor(``edits`` x m) word
-    edits of it; ``first`` and ``end`` are the run's places in words. Items of under ``min_words``
+    edits of it; ``first`` and ``end`` are the run's places in words. ``recall`` is the share of runs with as many
+    edits as that which is found, for items of any length; those with fewer edits are found more surely. Items of under ``min_words``
     words, null ones included, are no passages and match nothing. A null item id is kept as null, and one that is no whole number is null. A
     null or empty text has no leaks. ``keep``: the columns to return, all by default. Repeated items
     and rows each count. A column of the new name is replaced.
@@ -327,7 +363,7 @@ def leaks(
         chosen = [i for i, own in enumerate(hashes) if len(own) >= min_words]
         if chosen:
             names = [held[i]["item"] for i in chosen]
-            grouped = _grouped([hashes[i] for i in chosen], list(range(len(chosen))), edits, seed)
+            grouped = _grouped([hashes[i] for i in chosen], list(range(len(chosen))), edits, seed, recall)
             rows = _searched(rows, inside, column, names, grouped, seed)
     return rows.withColumn(column, F.array_sort(named(column))).drop(inside)
 

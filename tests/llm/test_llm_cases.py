@@ -454,3 +454,61 @@ def test_jaccard_of_edited_copies_and_a_common_passage(docs, monkeypatch, part):
     rows = list(enumerate(every))
     found = {r.key: (r.n_grams, r.group_key) for r in jaccard_groups(docs(*rows)).collect()}
     assert found == expected(rows, 5, 75)
+
+
+@pytest.mark.parametrize("target", [0.9, 0.97])
+@pytest.mark.parametrize("words", [8, 15, 23, 31, 40, 59, 100, 200])
+def test_leaks_meet_the_target_recall(words, target):
+    """Of texts with as many edits as may be, by insertions alone and by all kinds, that share is found."""
+    rng = np.random.default_rng(1000 + words)
+    vocabulary = bytewords.mix(np.arange(1, 5001, dtype=np.uint64))
+    items = [rng.choice(vocabulary, words, replace=False) for _ in range(4)]
+    most, trials = int(decontaminate.allowed(words)), 120
+    search = decontaminate.Search(*decontaminate._grouped(items, [0, 1, 2, 3], decontaminate.EDITS, 2, target), 2)
+    texts = []
+    for trial in range(trials):
+        own = items[trial % 4].tolist()
+        kinds = ["insert"] if trial % 2 else ["insert", "delete", "replace"]
+        for _ in range(most):
+            at, kind, new = int(rng.integers(len(own))), str(rng.choice(kinds)), rng.choice(vocabulary)
+            own[at : at + (kind != "insert")] = [] if kind == "delete" else [new]
+        texts.append(np.concatenate([rng.choice(vocabulary, 20), np.array(own, np.uint64), rng.choice(vocabulary, 20)]))
+    search.add(np.concatenate(texts), np.append(0, np.cumsum([len(x) for x in texts])), 0)
+    found = {(text, item) for text, item, *_ in search.matches()}
+    for kind in (0, 1):
+        share = np.mean([(i, i % 4) in found for i in range(trials) if i % 2 == kind])
+        assert share >= min(target, 0.95) - 0.03, (words, kind, share)
+
+
+def test_leaks_against_every_place(spark, docs):
+    """Items, edits and places of matches equal those of a comparison at every word."""
+    rng = random.Random(12)
+    items = [prose(200 + i, rng.randrange(15, 60)) for i in range(8)]
+    rows = []
+    for i in range(40):
+        own = items[i % 8].split()
+        for _ in range(rng.randrange(0, len(own) // 4 + 3)):
+            at = rng.randrange(len(own))
+            own[at : at + rng.randrange(2)] = [rng.choice(["nova", "q"])] if rng.random() < 0.6 else []
+        rows.append((i, " ".join([prose(500 + i, rng.randrange(0, 40)), *own, prose(700 + i, 20)]).strip()))
+    frame = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+
+    def best(text, item):
+        text, item = text.split(), item.split()
+        most, found = len(item) // 4, []
+        for first in range(len(text)):
+            now = list(range(len(text) - first + 1))[: len(item) + most + 1]
+            part = text[first : first + len(item) + most]
+            for i, word in enumerate(item):
+                new = [i + 1]
+                for j, other in enumerate(part):
+                    new.append(min(now[j] + (word != other), now[j + 1] + 1, new[j] + 1))
+                now = new
+            edits = min(now)
+            if edits <= most:
+                found.append((edits, first, first + now.index(edits)))
+        return min(found, default=None)
+
+    want = {(i, k, *hit) for i, text in rows for k, item in enumerate(items) if (hit := best(text, item))}
+    got = {(r.doc_id, x.item, x.edits, x.first, x.end) for r in leaks(docs(*rows), frame).collect() for x in r.leaks}
+    assert len(want) > 20 and got <= want and len(want - got) <= 1
