@@ -9,8 +9,10 @@ frequent values, which in a group of edited copies is the text they were made fr
 signatures agree enough are counted on the full sets; links give components by alternating large-star
 and small-star. Buckets that still hold several components go on: members outside a bucket's largest component
 meet all others of the bucket, signature against signature, first with the nearest one alone as a pair,
-as long as that merges any, then with every one that could link. Outsiders are dealt in parts of bounded size, past
-which the bucket streams, so no task holds a bucket.
+as long as that merges any, then with every one that could link. What two members have in common is bounded by
+what each has of their leader, counted exactly, and the shingles beside it that several members have: that
+leaves out edited copies whose edits differ. Outsiders are dealt in parts of bounded size, past which the bucket
+streams, so no task holds a bucket.
 
 A set is known by a 64-bit hash and so is a shingle.
 """
@@ -22,24 +24,27 @@ from math import ceil, comb, log
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from foyer.llm import bytewords
 from foyer.llm.common import named, whole_text, written
 from foyer.llm.components import components
 from foyer.llm.jaccard import gram_sets, set_hash
+from foyer.llm.outsiders import PART, Rows, dealt
 
 N, PERCENT = 4, 80
 #: Chance that a pair at the threshold is missed, by the bands and again by the signatures; most hashes.
 MISS, MOST_HASHES = 1e-7, 256
-#: Members of a bucket that its leader is chosen from; outsiders that meet a bucket in one part.
-HEAD, PART = 4096, 2048
+#: Members of a bucket that its leader is chosen from.
+HEAD = 4096
 #: Rounds in which an outsider meets its nearest member alone.
-TURNS = 3
+TURNS = 1
 #: Texts whose hashes may be sent to all tasks; beyond it texts are combined and joined by hash.
 BROADCAST_ROWS = 2_000_000
 _CHUNK = 2048
+#: What goes along with the members of a bucket that others have yet to meet.
+_FIELDS = ("bucket", "buckets", "node", "n_grams", "root", "common", "shared", "marks")
 
 
 def layout(percent: int, miss: float = MISS, most: int = MOST_HASHES) -> tuple[int, int]:
@@ -147,21 +152,6 @@ def _meeting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bucket, node = bucket[-1:], node[-1:]
 
 
-class _Rows:
-    """Rows (bucket, ..., marks) of a batch as arrays."""
-
-    def __init__(self, batch: pa.RecordBatch, hashes: int):
-        *plain, marks = (batch.column(i) for i in range(batch.num_columns))
-        self.columns = [column.to_numpy(zero_copy_only=False) for column in plain]
-        joined = b"".join(marks.to_pylist())
-        self.marks = np.frombuffer(joined, np.uint8).reshape(-1, hashes)
-
-    def runs(self) -> Iterator[tuple[int, int]]:
-        first = self.columns[0]
-        heads = np.flatnonzero(np.append(True, first[1:] != first[:-1]))
-        return zip(heads.tolist(), [*heads[1:].tolist(), len(first)], strict=True)
-
-
 def _fits(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
     """Whether sets of these sizes can link."""
     return 100 * np.minimum(a, b) >= percent * np.maximum(a, b)
@@ -175,15 +165,20 @@ def _leader(marks: np.ndarray) -> int:
     return int((marks == common).sum(1).argmax())
 
 
-def _pairs(u: list[np.ndarray], v: list[np.ndarray]) -> pa.RecordBatch:
-    none = np.zeros(0, np.int64)
-    return pa.RecordBatch.from_arrays(
-        [pa.array(np.concatenate([none, *u])), pa.array(np.concatenate([none, *v]))], ["u", "v"]
-    )
+def _arrays(kinds: str, *columns: list[np.ndarray]) -> pa.RecordBatch:
+    """Pieces of columns on end, as named longs and, after a ``?``, booleans."""
+    arrays, names = [], kinds.split()
+    for name, pieces in zip(names, columns, strict=True):
+        none = np.zeros(0, bool if name.endswith("?") else np.int64)
+        arrays.append(pa.array(np.concatenate([none, *pieces])))
+    return pa.RecordBatch.from_arrays(arrays, [name.rstrip("?") for name in names])
 
 
 def _star(percent: int, hashes: int):
-    """Rows (bucket, node, n_grams, marks) by bucket: pairs of each bucket's leader and its other members."""
+    """Rows (bucket, node, n_grams, marks) by bucket, with the bucket's leader as ``hub`` and whether their
+
+    signatures allow a link, ``near``.
+    """
     least = least_agreement(percent, hashes)
 
     def lead(batches):
@@ -191,9 +186,16 @@ def _star(percent: int, hashes: int):
 
         def against(node, size, marks):
             one, its_size, its_marks = leader
-            good = ((marks == its_marks).sum(1) >= least) & _fits(size, its_size, percent) & (node != one)
-            out_u.append(np.full(int(good.sum()), one))
-            out_v.append(node[good])
+            near = ((marks == its_marks).sum(1) >= least) & _fits(size, its_size, percent)
+            for to, values in zip(out, (np.full(len(node), now), np.full(len(node), one), node, size, near), strict=True):
+                to.append(values)
+            held_marks.append(marks)
+
+        def given():
+            rows = _arrays("bucket hub node n_grams near?", *out)
+            every = np.concatenate([np.zeros((0, hashes), np.uint8), *held_marks])
+            fixed = pa.FixedSizeBinaryArray.from_buffers(pa.binary(hashes), len(every), [None, pa.py_buffer(every)])
+            return rows.append_column("marks", fixed.cast(pa.binary()))
 
         def chosen():
             nonlocal held, leader
@@ -204,7 +206,7 @@ def _star(percent: int, hashes: int):
             held = []
 
         for batch in batches:
-            rows, out_u, out_v = _Rows(batch, hashes), [], []
+            rows, out, held_marks = Rows(batch, hashes), ([], [], [], [], []), []
             bucket, node, size = rows.columns
             for first, last in rows.runs():
                 if bucket[first] != now:
@@ -218,19 +220,21 @@ def _star(percent: int, hashes: int):
                         chosen()
                 else:
                     against(*part)
-            yield _pairs(out_u, out_v)
+            yield given()
         if held:
-            out_u, out_v = [], []
+            out, held_marks = ([], [], [], [], []), []
             chosen()
-            yield _pairs(out_u, out_v)
+            yield given()
 
     return lead
 
 
 def _beyond(percent: int, hashes: int, nearest: bool):
-    """Rows (part, outside, node, n_grams, root, marks) by part, outsiders first: pairs of an outsider and a member
+    """Rows (part, outside, bucket, buckets, node, n_grams, root, common, shared, marks) by part, outsiders first:
 
-    of another component that may link; with ``nearest`` only the one whose signature agrees most.
+    pairs of an outsider and a member of another component that may link, each by the first of the buckets
+    that both are in; with ``nearest`` only the one whose signature agrees most. Two sets of a hub have in
+    common what both have of it, at most, and shingles apart from the hub's that several sets of the hub have.
     """
     least = least_agreement(percent, hashes)
 
@@ -239,79 +243,87 @@ def _beyond(percent: int, hashes: int, nearest: bool):
 
         def given():
             """The nearest members of the outsiders of the part that ends."""
-            if nearest and held is not None and len(held[0]):
+            if nearest and held is not None:
                 some = best[0] >= least
-                out_u.append(held[0][some])
-                out_v.append(best[1][some])
+                out[0].append(held[0][some])
+                out[1].append(best[1][some])
 
         for batch in batches:
-            rows, out_u, out_v = _Rows(batch, hashes), [], []
-            part, outside, node, size, root = rows.columns
+            rows, out = Rows(batch, hashes), ([], [])
+            part, outside, bucket, buckets, *fields = rows.columns
             for first, last in rows.runs():
                 if part[first] != now:
                     given()
                     now, held = part[first], None
                 split = first + int(np.count_nonzero(outside[first:last] == 0))
                 if split > first:
-                    more = node[first:split], size[first:split], root[first:split], rows.marks[first:split]
+                    more = *(column[first:split] for column in [*fields, buckets]), rows.marks[first:split]
                     held = more if held is None else tuple(map(np.concatenate, zip(held, more, strict=True)))
                     best = np.zeros(len(held[0]), np.int64), np.zeros(len(held[0]), np.int64)
                 for at in range(split, last) if held is not None else ():  # A part may have drawn no outsider.
-                    other = held[2] != root[at]
-                    live = np.flatnonzero(other & _fits(held[1], size[at], percent))
+                    node, size, root, common, shared = (column[at] for column in fields)
+                    its_node, its_size, its_root, its_common, its_shared, its_buckets, its_marks = held
+                    need = -(-percent * (its_size + size) // (100 + percent))
+                    room = np.minimum(its_common, common) + np.minimum(its_shared, shared)
+                    apart = (its_common >= 0) & (common >= 0) & (room < need)
+                    live = np.flatnonzero((its_root != root) & ~apart & _fits(its_size, size, percent))
                     if not len(live):
                         continue
-                    agree = (held[3][live] == rows.marks[at]).sum(1)
+                    agree = (its_marks[live] == rows.marks[at]).sum(1)
                     if nearest:
                         closer = agree > best[0][live]
                         best[0][live[closer]] = agree[closer]
-                        best[1][live[closer]] = node[at]
+                        best[1][live[closer]] = node
                     else:
-                        found = held[0][live[agree >= least]]
-                        out_u.append(found)
-                        out_v.append(np.full(len(found), node[at]))
-            yield _pairs(out_u, out_v)
-        out_u, out_v = [], []
+                        mine = buckets[at]
+                        found = [i for i in live[agree >= least] if np.intersect1d(its_buckets[i], mine)[0] == bucket[at]]
+                        out[0].append(its_node[found])
+                        out[1].append(np.full(len(found), node))
+            yield _arrays("u v", *out)
+        out = ([], [])
         given()
-        yield _pairs(out_u, out_v)
+        yield _arrays("u v", *out)
 
     return meet
 
 
-def _dealt(placed: DataFrame, roots: DataFrame) -> DataFrame:
-    """Rows of buckets with several components, by part: its outsiders (``outside`` 0), then all members (1).
-
-    A bucket's outsiders are those outside the component that has most of it. They are dealt to parts by
-    hash, and the members go to each part.
-    """
-    now = placed.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    counts = now.groupBy("bucket", "root").agg(F.count("*").alias("rows"))
-    home = counts.groupBy("bucket").agg(
-        F.max_by("root", F.struct("rows", "root")).alias("home"), F.sum("rows").alias("all"), F.max("rows").alias("most")
-    ).where("all > most")
-    parts = home.select("bucket", "home", F.ceil((F.col("all") - F.col("most")) / PART).cast("int").alias("parts"))
-    now = now.join(written(parts, "minhash-parts"), "bucket")
-    fields = ("node", "n_grams", "root", "marks")
-    dealt = F.pmod(F.hash("node"), F.col("parts"))
-    outsiders = now.where("root <> home").select(F.xxhash64("bucket", dealt).alias("part"), F.lit(0).alias("outside"), *fields)
-    members = now.withColumn("piece", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(
-        F.xxhash64("bucket", "piece").alias("part"), F.lit(1).alias("outside"), *fields
+def _with_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Written pairs (u, v) with their full sets ``a`` and ``b``."""
+    nodes = written(
+        pairs.select(F.col("u").alias("node")).union(pairs.select(F.col("v").alias("node"))).distinct(), "minhash-needed"
     )
-    return outsiders.union(members).repartition("part").sortWithinPartitions("part", "outside")
+    if nodes.count() <= BROADCAST_ROWS:
+        sets = sets.join(F.broadcast(nodes), "node", "left_semi")  # Few sets travel then.
+    with_v = pairs.join(sets.select(F.col("node").alias("v"), F.col("grams").alias("b")), "v")
+    return with_v.join(sets.select(F.col("node").alias("u"), F.col("grams").alias("a")), "u")
 
 
-def _link(percent: int) -> Column:
-    """Whether sets ``a`` and ``b`` link."""
-    both = F.size(F.array_intersect("a", "b"))
-    return 100 * both >= percent * (F.size("a") + F.size("b") - both)
+def _counted(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The different pairs (u, v) with ``common``, the shingles in both full sets, and ``linked``."""
+    pairs = written(pairs.select("u", "v").where("u <> v").distinct(), "minhash-pairs")
+    both = _with_sets(pairs, sets).select(
+        "u", "v", F.size(F.array_intersect("a", "b")).cast("long").alias("common"),
+        (F.size("a") + F.size("b")).alias("n"),
+    )
+    linked = 100 * F.col("common") >= percent * (F.col("n") - F.col("common"))
+    return written(both.select("u", "v", "common", linked.alias("linked")), "minhash-counted")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (u, v) whose full sets link."""
-    pairs = written(pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(), "minhash-pairs")
-    with_v = pairs.join(sets.select(F.col("node").alias("v"), F.col("grams").alias("b")), "v")
-    with_both = with_v.join(sets.select(F.col("node").alias("u"), F.col("grams").alias("a")), "u")
-    return written(with_both.where(_link(percent)).select("u", "v"), "minhash-links")
+def _of_hubs(stars: DataFrame, sets: DataFrame) -> DataFrame:
+    """(hub, node, common, shared) of the pairs of hubs that have a member they do not link with.
+
+    ``shared`` counts the node's shingles that the hub does not have and another of its members has.
+    """
+    hubs = stars.where("not linked").select("u").distinct()
+    stars = written(stars.join(hubs, "u", "left_semi"), "minhash-hubs")
+    apart = _with_sets(stars.select("u", "v"), sets).select("u", "v", F.explode(F.array_except("b", "a")).alias("gram"))
+    apart = written(apart, "minhash-apart")
+    several = apart.groupBy("u", "gram").agg(F.count("*").alias("n")).where("n > 1").select("u", "gram")
+    shared = apart.join(several, ["u", "gram"], "left_semi").groupBy("u", "v").agg(F.count("*").alias("shared"))
+    found = stars.join(shared, ["u", "v"], "left").select(
+        F.col("u").alias("hub"), F.col("v").alias("node"), "common", F.coalesce("shared", F.lit(0).cast("long")).alias("shared")
+    )
+    return written(found, "minhash-common")
 
 
 def _sets(docs: DataFrame, nodes: DataFrame, text: str, n: int) -> DataFrame:
@@ -366,16 +378,30 @@ def near_groups(
     nodes = written(nodes.select("node", "text_key", "n_grams", "marks"), "minhash-nodes")
     sets = _sets(docs, nodes, text, n)
     placed = members.join(nodes.select("node", "n_grams", "marks"), "node").select("bucket", "node", "n_grams", "marks")
-    placed = written(placed, "minhash-placed")
     by_bucket = placed.repartition("bucket").sortWithinPartitions("bucket")
-    links = _verified(by_bucket.mapInArrow(_star(percent, hashes), "u long, v long"), sets, percent)
+    stars = by_bucket.mapInArrow(
+        _star(percent, hashes), "bucket long, hub long, node long, n_grams long, near boolean, marks binary"
+    )
+    stars = written(stars, "minhash-stars")
+    pairs = stars.where("near").select(F.col("hub").alias("u"), F.col("node").alias("v"))
+    counted = _counted(pairs, sets, percent)
+    links = counted.where("linked").select("u", "v")
     roots = written(components(links), "minhash-roots")
+    # In a bucket of two, all has been said. Of the others, what is known of members and their hubs goes along.
+    larger = stars.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 2").select("bucket")
+    stars = written(stars.drop("near").join(larger, "bucket", "left_semi"), "minhash-larger")
+    of_node = stars.groupBy("node").agg(F.collect_list("bucket").alias("buckets"))  # No more than bands.
+    known = stars.join(_of_hubs(counted, sets), ["hub", "node"], "left").withColumns({
+        "common": F.coalesce("common", F.lit(-1).cast("long")), "shared": F.coalesce("shared", F.lit(0).cast("long")),
+    })
+    placed = written(known.join(of_node, "node").drop("hub"), "minhash-known")
     turn = 0
     while True:
         # As long as meeting the nearest member alone merges any; at last every one that could link.
         last = turn == TURNS
-        more = _dealt(placed, roots).mapInArrow(_beyond(percent, hashes, not last), "u long, v long")
-        more = _verified(more, sets, percent)
+        more = dealt(placed, roots, "bucket", _FIELDS, PART).mapInArrow(_beyond(percent, hashes, not last), "u long, v long")
+        more = more.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
+        more = _counted(more, sets, percent).where("linked").select("u", "v")
         merged = bool(more.head(1))
         if merged:
             links = links.union(more)
