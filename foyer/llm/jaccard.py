@@ -11,8 +11,9 @@ exactly, set against set.
 Skew. The order puts very frequent n-grams last, so only documents that consist of little else have
 them in their part. A column with many rows makes no pair of all of them: each is counted
 against the column's first row, then those outside the column's largest component against a row
-inside; the links found are merged each time, and at last only pairs across different components,
-within the same bounds, are counted. Copies combine before the shuffle.
+inside; the links found are merged each time. At last, in columns that still hold several components, the
+rows outside the largest one meet all others in parts of bounded size, by the same bounds and sketch against
+sketch, and only pairs that pass are made. Copies combine before the shuffle.
 
 A set is known by a 64-bit hash and so is an n-gram.
 """
@@ -29,6 +30,7 @@ from pyspark.sql import functions as F
 from foyer.llm import bytewords
 from foyer.llm.common import fresh, most_frequent, named, whole_text, written
 from foyer.llm.components import components
+from foyer.llm.outsiders import PART, Rows, dealt
 
 N, PERCENT = 5, 75
 #: N-grams moved to the end of the order, at most; and when one counts as frequent.
@@ -287,41 +289,41 @@ def _toward(percent: int, turn: int):
 
 
 def _across(percent: int):
-    """Pairs of long columns whose rows lie in different components, within the bounds."""
+    """Rows (part, outside, node, size, place, root, sketch) by part, outsiders first: pairs of an outsider and a
 
-    def multiply(batches):
-        held = [batch for batch in batches if batch.num_rows]
-        if not held:
-            return
-        table = pa.Table.from_batches(held)
-        gram, node, size, place, root = (table.column(i).to_numpy() for i in range(5))
-        order = np.lexsort((size, gram))
-        gram, node, size, place, root = (x[order] for x in (gram, node, size, place, root))
-        at = np.arange(len(gram))
-        end = np.searchsorted(gram, gram, "right")
-        pairs, held_pairs = [], 0
-        # Sorted by size, a row meets the rows behind it until they are too large for it.
-        step = 1
-        live = at
-        while len(live):
-            live = live[live + step < end[live]]
-            live = live[percent * size[live + step] <= 100 * size[live]]
-            b = live + step
-            good = (root[live] != root[b]) & _bounded(live, b, size, place, percent)
-            pairs.append(np.stack([node[live[good]], node[b[good]]], 1))
-            held_pairs += int(good.sum())
-            if held_pairs > 1 << 20:
-                yield _unique(pairs)
-                pairs, held_pairs = [], 0
-            step += 1
-        if pairs:
-            yield _unique(pairs)
-
-    def _unique(pairs):
-        found = np.unique(np.sort(np.concatenate(pairs), axis=1), axis=0)
-        return pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], ["u", "v"])
-
-    return multiply
+    row of another component within the bounds, those of the sketches too.
+    """
+    def meet(batches):
+        now, held = None, None
+        for batch in batches:
+            rows, u, v = Rows(batch, SKETCH // 8), [], []
+            part, outside, *fields = rows.columns
+            words = rows.marks.view(np.uint64)
+            for first, last in rows.runs():
+                if part[first] != now:
+                    now, held = part[first], None
+                split = first + int(np.count_nonzero(outside[first:last] == 0))
+                if split > first:
+                    more = *(column[first:split].astype(np.int64) for column in fields), words[first:split]
+                    held = more if held is None else tuple(map(np.concatenate, zip(held, more, strict=True)))
+                for at in range(split, last) if held is not None else ():  # A part may have drawn no outsider.
+                    node, size, place, root = (int(column[at]) for column in fields)
+                    its_node, its_size, its_place, its_root, its_words = held
+                    need = _pair_needed(its_size, np.int64(size), percent)
+                    room = np.minimum(its_size - its_place, size - place)
+                    short, long = np.minimum(its_size, size), np.maximum(its_size, size)
+                    live = np.flatnonzero((its_root != root) & (room >= need) & (100 * short >= percent * long))
+                    if len(live):
+                        apart = np.bitwise_count(its_words[live] ^ words[at]).sum(1, dtype=np.int64)
+                        found = live[apart <= its_size[live] + size - 2 * need[live]]
+                        u.append(its_node[found])
+                        v.append(np.full(len(found), node))
+            none = np.zeros(0, np.int64)
+            pairs = np.sort(np.stack([np.concatenate([none, *u]), np.concatenate([none, *v])], 1), axis=1)
+            pairs = np.unique(pairs, axis=0)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["u", "v"])
+
+    return meet
 
 
 def _against(percent: int, links):
@@ -458,9 +460,17 @@ def jaccard_groups(
         last = turn == TURNS
         now = long.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
         split = now.groupBy("gram").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a <> b")
-        now = now.join(split.select("gram"), "gram", "left_semi").select("gram", "node", "size", "place", "root")
-        work = _across(percent) if last else _toward(percent, turn)
-        more = now.repartition("gram").mapInArrow(work, "u long, v long")
+        now = written(now.join(split.select("gram"), "gram", "left_semi"), "jaccard-split")
+        if last:
+            apart = now.select("node").distinct()
+            sketches = rows.where("sketch is not null").select("node", "sketch").join(apart, "node", "left_semi")
+            sketches = written(sketches.dropDuplicates(["node"]), "jaccard-sketches")
+            now = now.select("gram", "node", "size", "place").join(sketches, "node")
+            now = dealt(now, roots, "gram", ("node", "size", "place", "root", "sketch"), PART)
+            more = now.mapInArrow(_across(percent), "u long, v long")
+        else:
+            now = now.select("gram", "node", "size", "place", "root")
+            more = now.repartition("gram").mapInArrow(_toward(percent, turn), "u long, v long")
         more = written(_verified(docs, rows, more, text, n, percent), "jaccard-links")
         merged = bool(more.head(1))
         if merged:

@@ -512,3 +512,42 @@ def test_leaks_against_every_place(spark, docs):
     want = {(i, k, *hit) for i, text in rows for k, item in enumerate(items) if (hit := best(text, item))}
     got = {(r.doc_id, x.item, x.edits, x.first, x.end) for r in leaks(docs(*rows), frame).collect() for x in r.leaks}
     assert len(want) > 20 and got <= want and len(want - got) <= 1
+
+
+def test_quality_scores_against_plain_densities(spark, docs):
+    """Scores equal the ratio of two normal densities, written out."""
+    rng = random.Random(8)
+    rows = [(i, prose(i, rng.randrange(20, 90)) + ("! X1" * (i % 7) if i % 2 else "")) for i in range(60)]
+    frame = docs(*rows).withColumn("label", F.col("doc_id") % 2)
+    described = quality.described(frame, ["doc_id", "label"])
+    found = {r.doc_id: r.score for r in quality.scores(described, quality.fit(described, "label"), ["doc_id"]).collect()}
+    table = described.toPandas().sort_values("doc_id")
+    x, label = table[quality.STATISTICS].to_numpy(), table.label.to_numpy()
+    parts = [x[label == c] for c in (0, 1)]
+    pooled = sum(len(p) * p.var(0) for p in parts) / len(x)
+    unit = np.sqrt(np.maximum(pooled, 1e-6))
+    densities = []
+    for part in parts:
+        spread = np.cov(part.T, bias=True) / np.outer(unit, unit)
+        spread = (1 - quality.SHRINKAGE) * spread + quality.SHRINKAGE * np.eye(len(unit))
+        off = (x - part.mean(0)) / unit
+        far = (off @ np.linalg.inv(spread) * off).sum(1)
+        densities.append(np.log(len(part) / len(x)) - 0.5 * np.linalg.slogdet(spread)[1] - 0.5 * far)
+    want = 1 / (1 + np.exp(np.clip(densities[0] - densities[1], -500, 500)))
+    assert np.allclose([found[i] for i in range(60)], want, atol=1e-6)
+
+
+@pytest.mark.parametrize("letters, caught", [(8, True), (3, False)])
+def test_planted_passages_above_and_below_400_bytes(docs, letters, caught):
+    """A passage of 60 words that repeats goes if it has 400 bytes, by the operator's contract, and else stays."""
+    rng = random.Random(letters)
+    passage = " ".join("".join(rng.choices("abcdefghij", k=letters)) for _ in range(60))
+    assert (len(passage) >= 400) == caught
+    rows = [(i, prose(900 + i, 80) + (f" {passage} " if i < 10 else " ") + prose(950 + i, 40)) for i in range(20)]
+    for row in without_repeats(docs(*rows)).collect():
+        removed = sum(span["end"] - span["start"] for span in row.spans)
+        if caught and row.doc_id < 10:
+            # Neighbours that some of the texts share by chance go with it.
+            assert len(passage) + 2 <= removed <= len(passage) + 12
+        else:
+            assert removed == 0
