@@ -13,24 +13,27 @@ from foyer.streaming import upserts
 from foyer.streaming.run import BatchWriter
 
 KEYS = ("window_start", "token")
-LATE = "late"
+LATE, NO_TIME = "late", "no time"
 
 
 def late_counts(
     batch: DataFrame, split: Callable[[Column], Column], at: str, width: str, mark: datetime | None
 ) -> DataFrame:
-    """Occurrences of each token per window, and the lines whose window is over: ``window_start``, ``token``,
-    ``line``, ``reject_reason`` and ``n``. A window is over when its end is not behind ``mark``.
+    """Occurrences of each token per window, and the lines whose window is over or that have no time:
+    ``window_start``, ``token``, ``line``, ``reject_reason`` and ``n``. A window is over when its end is not
+    behind ``mark``.
     """
-    span = F.window(at, width)
-    late = F.lit(False) if mark is None else F.coalesce(span["end"] <= F.lit(mark), F.lit(False))
-    # The window is a column before the filter, as Spark makes it by a step of its own.
-    timed = batch.select(span["start"].alias("window_start"), late.alias("late"), "value")
-    # A late line stays one row; the others become a row per token.
+    # A window step leaves out rows without a time: they get one here, and their reason.
+    epoch = F.lit(datetime(1970, 1, 1)).cast(batch.schema[at].dataType)
+    span = F.window(F.coalesce(F.col(at), epoch), width)
+    late = F.lit(False) if mark is None else span["end"] <= F.lit(mark)
+    reason = F.when(F.col(at).isNull(), F.lit(NO_TIME)).when(late, F.lit(LATE))
+    timed = batch.select(span["start"].alias("window_start"), reason.alias(REASON), "value")
+    # A rejected line stays one row; the others become a row per token.
+    bad = F.col(REASON).isNotNull()
     each = timed.select(
-        "window_start", F.when(F.col("late"), F.col("value")).alias("line"),
-        F.when(F.col("late"), F.lit(LATE)).alias(REASON),
-        F.explode(F.when(F.col("late"), F.array(F.lit(None).cast("string"))).otherwise(split(F.col("value")))).alias("token"),
+        "window_start", F.when(bad, F.coalesce("value", F.lit(""))).alias("line"), REASON,
+        F.explode(F.when(bad, F.array(F.lit(None).cast("string"))).otherwise(split(F.col("value")))).alias("token"),
     )
     return each.groupBy("window_start", "token", "line", REASON).agg(F.count(F.lit(1)).alias("n"))
 
