@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,9 +24,37 @@ _MANAGED = {
 
 
 def parse_properties(lines: Iterable[str]) -> dict[str, str]:
-    """``key=value`` lines; blank lines and ``#`` comments are skipped."""
-    pairs = (line.strip().partition("=") for line in lines)
-    return {k.strip(): v.strip() for k, sep, v in pairs if sep and not k.startswith("#")}
+    """A properties file: keys and values parted by ``=``, ``:`` or white space.
+
+    Blank lines and those that begin with ``#`` or ``!`` are skipped; a backslash at a line's end
+    continues it, and one before another sign takes that sign as it is, or as the sign it stands for.
+    """
+    found, held = {}, ""
+    for line in [*lines, ""]:
+        text = line.strip(" \t\f\r\n") if held else line.lstrip(" \t\f").rstrip("\r\n")
+        if not held and (not text or text[0] in "#!"):
+            continue
+        text, held = held + text, ""
+        if (len(text) - len(text.rstrip("\\"))) % 2:
+            held = text[:-1]
+            continue
+        key, value = _PROPERTY.fullmatch(text).groups()
+        found[_unescaped(key)] = _unescaped(value.rstrip(" \t\f"))
+    return found
+
+
+_PROPERTY = re.compile(r"((?:\\.|[^\\=: \t\f])*)[ \t\f]*[=:]?[ \t\f]*(.*)")
+_ESCAPED = re.compile(r"\\(u[0-9A-Fa-f]{4}|.)")
+# Signs that letters after a backslash stand for.
+_SIGNS = {"t": "\t", "n": "\n", "r": "\r", "f": "\f"}
+
+
+def _unescaped(text: str) -> str:
+    def sign(match: re.Match) -> str:
+        found = match[1]
+        return chr(int(found[1:], 16)) if len(found) > 1 else _SIGNS.get(found, found)
+
+    return _ESCAPED.sub(sign, text)
 
 
 def kafka_options(properties: dict[str, str], topics: Iterable[str], per_batch: int | None = None) -> dict[str, str]:

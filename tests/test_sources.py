@@ -81,6 +81,29 @@ def test_kafka_options_from_properties():
     }
 
 
+def test_properties_as_such_files_have_them():
+    text = r"""
+    # a comment
+    ! another
+    plain=1
+    spaced : two words\t
+      tab	3
+    empty
+    url = http\://h:1/a=b
+    list = a,\
+        b,\
+        c
+    uni\u0020code = \u00e9
+    slash = ends\\
+    after = 5
+    """
+    assert streams.parse_properties(["last = on\\"]) == {"last": "on"}
+    assert streams.parse_properties(text.splitlines()) == {
+        "plain": "1", "spaced": "two words\t", "tab": "3", "empty": "", "url": "http://h:1/a=b", "list": "a,b,c",
+        "uni code": "é", "slash": "ends\\", "after": "5",
+    }
+
+
 def session(checkpoint_dir: str | None, master: str = "yarn", app: str = "app-1"):
     """As much of a session as the folder needs."""
     conf = {"spark.checkpoint.dir": checkpoint_dir} if checkpoint_dir else {}
