@@ -176,6 +176,18 @@ def _writer(lines: DataFrame) -> DataFrameWriter:
     return lines.write.options(compression="lz4", maxRecordsPerFile=500_000)
 
 
+def ticket_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw ticket feed, derived from ``lineitem`` in the plan: nothing is written."""
+    return ticket_lines(lineitem(spark, sf_dir))
+
+
+def ticket_stream(spark: SparkSession, sf_dir: str, files_per_batch: int | None = None) -> DataFrame:
+    """The raw ticket feed as a stream over the files of ``lineitem``, derived as it is read."""
+    columns = table(spark, sf_dir, "lineitem").schema
+    rows = file_stream(spark, columns, files_per_batch).parquet(f"{sf_dir}/lineitem.parque[t]")
+    return ticket_lines(rows)
+
+
 def ticket_files(spark: SparkSession, sf_dir: str) -> str:
     """The raw ticket feed as text files."""
     def write(path: str) -> None:

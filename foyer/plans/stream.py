@@ -44,8 +44,12 @@ def _batches(spark: SparkSession, name: str, start: Start) -> DataFrame:
     return spark.read.parquet(jobs.table_path(folder)).drop("batch_id")
 
 
-def _feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return file_lines(spark, inputs.ticket_files(spark, sf_dir))
+def _feed(spark: SparkSession, sf_dir: str, files_per_batch: int | None = None) -> DataFrame:
+    return inputs.ticket_stream(spark, sf_dir, files_per_batch)
+
+
+def _quarter_of_tickets(spark: SparkSession, sf_dir: str) -> int:
+    return max(1, len(inputs.table(spark, sf_dir, "lineitem").inputFiles()) // 4)
 
 
 def ticket_sales_running(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,7 +76,7 @@ def _presale(spark: SparkSession, sf_dir: str, name: str, idle_ms: int | None) -
     sent = line_field(F.col("value"), 2)
 
     def write(path: str) -> None:
-        earlier = text_lines(spark, inputs.ticket_files(spark, sf_dir)).where(sent < OPENED)
+        earlier = inputs.ticket_feed(spark, sf_dir).where(sent < OPENED)
         jobs.land_balances(sales.box_office(kept(tickets.presale_tickets(earlier, SINCE))), path)
 
     balances = spark.read.parquet(inputs.landed(spark, sf_dir, "balances", "lineitem", write))
@@ -144,8 +148,7 @@ def every_key_each_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def running_distinct_shows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Different show codes per showing, from sketches that several batches add to."""
-    path = inputs.ticket_files(spark, sf_dir)
-    lines = file_lines(spark, path, files_per_batch=_quarter_of_files(spark, path))
+    lines = _feed(spark, sf_dir, _quarter_of_tickets(spark, sf_dir))
     return sales.estimated_shows(_table(
         spark, "distinct-shows", SHOWING_KEY,
         lambda folder: jobs.distinct_shows(lines, folder, every=None, state_partitions=_width(spark)),
@@ -164,11 +167,10 @@ def late_window_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def restart_from_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Running sales stopped after the first batch, then started again to the end."""
-    path = inputs.ticket_files(spark, sf_dir)
     folder = shared_folder(spark, "restart")
 
     def start(every: str | None) -> StreamingQuery:
-        lines = file_lines(spark, path, files_per_batch=_quarter_of_files(spark, path))
+        lines = _feed(spark, sf_dir, _quarter_of_tickets(spark, sf_dir))
         return jobs.ticket_sales(lines, folder, every, state_partitions=_width(spark))
 
     run.stop_after_batches(start("0 seconds"), 1)

@@ -87,3 +87,17 @@ def test_pair_totals_beyond_a_bigint(spark):
     hot = spark.range(4_000_000).selectExpr("'a' as k", "3000000000L as amount")
     pairs = sales.self_join_totals(hot, ["k"], "amount").first()
     assert int(pairs["pairs"]) == 16 * 10**12 and int(pairs["amount"]) == 4_000_000**2 * 3 * 10**9 > 2**63
+
+
+@pytest.mark.parametrize("name", ["showing_key", "ticket_sales_batch", "presale_box_office"])
+def test_the_ticket_feed_is_derived_in_the_plan_not_written(plans, name):
+    # A written copy of the feed is many times the table it comes from.
+    assert "FileScan text" not in plans[name] and "lineitem.parquet" in plans[name]
+
+
+def test_the_ticket_stream_reads_the_table(spark, sf_dir):
+    lines = inputs.ticket_stream(spark, sf_dir)
+    assert lines.isStreaming and lines.columns == ["value"]
+    assert sorted(inputs.ticket_feed(spark, sf_dir).collect()) == sorted(
+        spark.read.schema("value string").text(inputs.ticket_files(spark, sf_dir)).collect()
+    )
