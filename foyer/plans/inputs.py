@@ -177,8 +177,8 @@ def _writer(lines: DataFrame) -> DataFrameWriter:
 
 
 def ticket_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The raw ticket feed, derived from ``lineitem`` in the plan: nothing is written."""
-    return ticket_lines(lineitem(spark, sf_dir))
+    """The raw ticket feed, derived from ``lineitem`` in the plan: nothing is written, nothing moves."""
+    return ticket_lines(table(spark, sf_dir, "lineitem"))
 
 
 def ticket_stream(spark: SparkSession, sf_dir: str, files_per_batch: int | None = None) -> DataFrame:
@@ -196,6 +196,11 @@ def ticket_files(spark: SparkSession, sf_dir: str) -> str:
     return landed(spark, sf_dir, "ticket-feed", "lineitem", write)
 
 
+def landed_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The landed log's lines with their ``dt``, derived from ``lineitem`` in the plan: nothing is written."""
+    return landed_lines(table(spark, sf_dir, "lineitem"))
+
+
 def landed_files(spark: SparkSession, sf_dir: str) -> str:
     """The landed log below ``dt=`` folders; rebalancing evens out large and small dates."""
     def write(path: str) -> None:

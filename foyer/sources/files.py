@@ -24,6 +24,11 @@ def landed_log(spark: SparkSession, root: str, dates: Iterable[str] | None = Non
     lines = spark.read.schema("value string, dt string").text(root)
     if dates is not None:
         lines = lines.where(F.col("dt").isin(list(dates)))
+    return log_fields(lines)
+
+
+def log_fields(lines: DataFrame) -> DataFrame:
+    """``data``, ``sendTime`` and ``dt`` of log lines in ``value`` with their ``dt``."""
     line = F.col("value")
     return lines.select(
         line_field(line, 0).alias("data"),

@@ -101,3 +101,16 @@ def test_the_ticket_stream_reads_the_table(spark, sf_dir):
     assert sorted(inputs.ticket_feed(spark, sf_dir).collect()) == sorted(
         spark.read.schema("value string").text(inputs.ticket_files(spark, sf_dir)).collect()
     )
+
+
+@pytest.mark.parametrize("name", ["landed_log_distinct_orders", "landed_orders_count_by_cinema"])
+def test_the_landed_log_is_derived_in_the_plan_not_written(plans, name):
+    assert "FileScan text" not in plans[name] and "lineitem.parquet" in plans[name]
+
+
+def test_the_derived_log_equals_the_landed_files(spark, sf_dir):
+    from foyer.sources.files import landed_log, log_fields
+
+    assert sorted(log_fields(inputs.landed_log(spark, sf_dir)).collect()) == sorted(
+        landed_log(spark, inputs.landed_files(spark, sf_dir)).collect()
+    )
