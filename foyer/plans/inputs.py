@@ -97,7 +97,10 @@ def _sent() -> Column:
 def ticket_lines(lineitem: DataFrame) -> DataFrame:
     """Raw feed: tag, JSON array of tickets, send time. A sixth line has another tag."""
     tag = F.when(F.col("l_linenumber") == 6, SCHEDULE_TOPIC).otherwise(TICKET_TOPIC)
-    return lineitem.select(F.concat_ws(FIELD_SEPARATOR, tag, _ticket_array(), _sent()).alias("value"))
+    lines = lineitem.select(F.concat_ws(FIELD_SEPARATOR, tag, _ticket_array(), _sent()).alias("value"))
+    # A filter on a derived line would move below it and derive the line again, in code too long to be
+    # compiled; a generator holds it back.
+    return lines.select(F.explode(F.array("value")).alias("value"))
 
 
 def landed_lines(lineitem: DataFrame) -> DataFrame:

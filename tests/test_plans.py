@@ -5,7 +5,9 @@ from __future__ import annotations
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
+from foyer.functions.text import line_field
 from foyer.operators import sales, tickets
 from foyer.operators.rejects import kept
 from foyer.plans import batch, inputs
@@ -103,6 +105,12 @@ def test_the_ticket_stream_reads_the_table(spark, sf_dir):
     )
 
 
+def test_filters_do_not_derive_the_lines_of_the_feed_again(spark, sf_dir):
+    earlier = inputs.ticket_feed(spark, sf_dir).where(line_field(F.col("value"), 2) < batch.OPENED)
+    text = plan(kept(tickets.presale_tickets(earlier, batch.SINCE)))
+    assert text.count("StructsToJsonEvaluator") == 1
+
+
 @pytest.mark.parametrize("name", ["landed_log_distinct_orders", "landed_orders_count_by_cinema"])
 def test_the_landed_log_is_derived_in_the_plan_not_written(plans, name):
     assert "FileScan text" not in plans[name] and "lineitem.parquet" in plans[name]
