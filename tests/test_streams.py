@@ -369,6 +369,17 @@ def test_idle_combiner_sums_whole_stretches(monkeypatch):
     ]
 
 
+def test_idle_combiner_sums_the_sums_of_stretches_by_all_parts_of_a_key(monkeypatch):
+    monkeypatch.setattr(idle, "_HELD_ROWS", 5)
+    batch = pa.RecordBatch.from_pydict(
+        {"movieCode": ["m", "m", "m", None, "m"], "date_id": ["1", "1", "2", "1", "1"],
+         "ticket_num": [1, 1, -1, 1, -1], "ticket_amt": [5, 6, -7, 2, -5]}
+    )
+    out = [tuple(row.values()) for part in idle._combine_twice([batch] * 4) for row in part.to_pylist()]
+    # Two stretches have three keys each, which makes six sums: past the limit, so they come out in pairs.
+    assert out == [("m", "1", 2, 12), ("m", "2", -2, -14), (None, "1", 2, 4)] * 2
+
+
 def test_idle_stream_forgets_a_quiet_key(spark, feed, tmp_path):
     log = str(tmp_path / "log")
     path = feed(line(ticket()))
